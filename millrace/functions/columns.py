@@ -95,3 +95,18 @@ def path_id(path: Column) -> Column:
 def hash_number(text: Column) -> Column:
     """Non-negative number fixed by a text: the first 32 bits of its MD5."""
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+
+
+def day_shift(subject: Column, reach: int = 182) -> Column:
+    """Days to move all dates of a subject, fixed by the subject's key.
+
+    One shift per subject keeps the gaps between its dates. It lies within
+    ``reach`` days either way and is never zero.
+    """
+    step = (hash_number(subject.cast("string")) % (2 * reach)).cast("int")
+    return F.when(step < reach, step - reach).otherwise(step - reach + 1)
+
+
+def day_shift_date(day: Column, subject: Column) -> Column:
+    """A date moved by the shift of its subject."""
+    return F.date_add(day.cast("date"), day_shift(subject))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from .columns import hash_number
+from .columns import day_shift, hash_number
 from .fixed import ENTITY_PATTERNS
 
 MARK = "\u0001"
@@ -134,16 +134,6 @@ def masked(text: Column) -> Column:
     return text
 
 
-def day_shift(subject: Column, reach: int = 182) -> Column:
-    """Days to move all dates of a subject, fixed by the subject's key.
-
-    One shift per subject keeps the gaps between its dates. It lies within
-    ``reach`` days either way and is never zero.
-    """
-    step = (hash_number(subject.cast("string")) % (2 * reach)).cast("int")
-    return F.when(step < reach, step - reach).otherwise(step - reach + 1)
-
-
 def _surrogate(entity: Column, subject: Column) -> Column:
     number = hash_number(entity)
     label = label_of(entity)
