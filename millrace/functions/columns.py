@@ -87,6 +87,15 @@ def snippet(text: Column, phrase: str, before: int, after: int) -> Column:
     return F.when(at > 0, F.substring(text, start, at + after - start))
 
 
+def items(array: Column) -> Column:
+    """Elements of a computed array, to be exploded.
+
+    Exploding a bare column makes the optimizer test its size as early as it
+    can, which for a computed array means computing it two more times.
+    """
+    return F.filter(array, lambda item: item.isNotNull())
+
+
 def path_id(path: Column) -> Column:
     """Row id of a file: the SHA-1 of its path."""
     return F.sha1(path.cast("binary"))

@@ -7,7 +7,7 @@ shuffle and no Python worker.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .columns import day_shift, hash_number
 from .fixed import ENTITY_PATTERNS
@@ -15,23 +15,23 @@ from .fixed import ENTITY_PATTERNS
 MARK = "\u0001"
 SENTENCE_BREAK = r"[.!?]\s+"
 ANY_ENTITY = "|".join(f"(?:{p})" for p in ENTITY_PATTERNS.values())
+# Every entity holds one of these. The test is cheap and spares most texts and
+# sentences the full patterns.
+ENTITY_HINT = r"@|\+1|[0-9][0-9./-]"
+BLANKS = " \t\n\u000b\f\r"
 
 CHUNK_TYPE = "array<struct<begin:int,end:int,result:string,metadata:map<string,string>>>"
 _WALK_TYPE = "array<struct<begin:int,end:int,result:string,sentence:int>>"
 
 
 def _unmarked(text: Column) -> Column:
-    return F.translate(text, MARK, " ")
-
-
-def _rtrimmed(text: Column) -> Column:
-    return F.regexp_replace(text, r"\s+$", "")
+    return F.replace(text, F.lit(MARK), F.lit(" "))
 
 
 def sentences(text: Column) -> Column:
     """Sentences of a text as an array, without the blanks that follow them."""
     marked = F.regexp_replace(_unmarked(text), f"({SENTENCE_BREAK})", f"$1{MARK}")
-    parts = F.transform(F.split(marked, MARK, -1), _rtrimmed)
+    parts = F.transform(F.split(marked, MARK, -1), lambda s: F.rtrim(s, F.lit(BLANKS)))
     return F.filter(parts, lambda s: s != "")
 
 
@@ -40,8 +40,8 @@ def tokens(sentence: Column) -> Column:
     return F.filter(F.split(sentence, r"\s+", -1), lambda t: t != "")
 
 
-def tags(token_array: Column) -> Column:
-    """One tag per token: ``O``, ``B-<label>`` or ``I-<label>``.
+def tags(sentence: Column, token_array: Column) -> Column:
+    """One tag per token of a sentence: ``O``, ``B-<label>`` or ``I-<label>``.
 
     A phone number spans three tokens, so its tags look at the neighbours.
     """
@@ -65,7 +65,9 @@ def tags(token_array: Column) -> Column:
         chosen = chosen.when(is_phone_from(i - 1) | is_phone_from(i - 2), "I-PHONE")
         return chosen.otherwise("O")
 
-    return F.transform(token_array, tag)
+    return F.when(sentence.rlike(ENTITY_HINT), F.transform(token_array, tag)).otherwise(
+        F.transform(token_array, lambda _: F.lit("O"))
+    )
 
 
 def label_of(chunk: Column) -> Column:
@@ -123,15 +125,15 @@ def chunks(text: Column) -> Column:
             ).alias("metadata"),
         ),
     )
-    # Most texts hold no personal data; they skip the walk.
-    return F.when(text.rlike(ANY_ENTITY), labelled).otherwise(F.array().cast(CHUNK_TYPE))
+    return F.when(text.rlike(ENTITY_HINT), labelled).otherwise(F.array().cast(CHUNK_TYPE))
 
 
 def masked(text: Column) -> Column:
     """Text with each entity replaced by its label in angle brackets."""
+    out = text
     for label, pattern in ENTITY_PATTERNS.items():
-        text = F.regexp_replace(text, pattern, f"<{label}>")
-    return text
+        out = F.regexp_replace(out, pattern, f"<{label}>")
+    return F.when(text.rlike(ENTITY_HINT), out).otherwise(text)
 
 
 def _surrogate(entity: Column, subject: Column) -> Column:
@@ -161,32 +163,31 @@ def obfuscated(text: Column, subject: Column) -> Column:
         F.transform(_parts(text), lambda part, i: F.when(i % 2 == 1, _surrogate(part, subject)).otherwise(part)),
         "",
     )
-    return F.when(text.rlike(ANY_ENTITY), rebuilt).otherwise(text)
+    return F.when(text.rlike(ENTITY_HINT), rebuilt).otherwise(text)
 
 
-def annotated(df, text: str, subject: str):
+def annotated(df: DataFrame, text: str, subject: str) -> DataFrame:
     """Add the result arrays of the pipeline to each row: sentences and their
     obfuscated form, tokens and tags (over all sentences), and chunks."""
     body = F.col(text)
-    with_sentences = df.withColumns(
+    split = df.withColumns(
         {
             "sentence_result": sentences(body),
             "deidentified_result": sentences(obfuscated(body, F.col(subject))),
-            "_tokens": F.transform(sentences(body), tokens),
             "ner_chunk": chunks(body),
         }
-    )
-    return with_sentences.withColumns(
+    ).withColumn("_tokens", F.transform("sentence_result", tokens))
+    return split.withColumns(
         {
             "token_result": F.flatten("_tokens"),
-            "ner_result": F.flatten(F.transform("_tokens", tags)),
+            "ner_result": F.flatten(F.zip_with("sentence_result", "_tokens", tags)),
             "ner_chunk_result": F.col("ner_chunk.result"),
             "ner_chunk_metadata": F.col("ner_chunk.metadata"),
         }
     ).drop("_tokens")
 
 
-def zipped(df, *kept: str):
+def zipped(df: DataFrame, *kept: str) -> DataFrame:
     """The paired arrays: token with tag, chunk with metadata, sentence with
     its obfuscated form."""
     return df.select(

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .columns import items, ratio
+
 PAGE_CHARS = 2000
 
 
 def _fan_out(df: DataFrame, pages: Column, out: str) -> DataFrame:
-    kept = [F.col(f"`{name}`") for name in df.columns if name != "_pages"]
-    staged = df.withColumn("_pages", pages)
-    return staged.select(
-        *kept,
+    return df.withColumn("_pages", pages).select(
+        *(F.col(f"`{name}`") for name in df.columns),
         F.size("_pages").alias("total_pages"),
-        F.posexplode("_pages").alias("_at", out),
-    ).withColumnsRenamed({"_at": "pagenum"})
+        F.posexplode(items(F.col("_pages"))).alias("pagenum", out),
+    )
 
 
 def pages_by_length(df: DataFrame, text: str, out: str = "page_text", size: int = PAGE_CHARS) -> DataFrame:
@@ -59,12 +59,8 @@ def with_clean_stages(df: DataFrame, text: str) -> DataFrame:
 
 def confidence(text: Column) -> Column:
     """Share of letters and blanks in a text, as 0 to 100; 0 for no text."""
-    good = F.length(text) - F.length(F.regexp_replace(text, r"[\p{L}\s]", ""))
-    return F.coalesce(ratio_of(good, F.length(text)), F.lit(0.0))
-
-
-def ratio_of(part: Column, whole: Column) -> Column:
-    return F.try_divide(F.lit(100.0) * part, whole)
+    good = F.length(text) - F.length(F.regexp_replace(text, r"[\p{L}\s]+", ""))
+    return F.coalesce(ratio(F.lit(100.0) * good, F.length(text)), F.lit(0.0))
 
 
 def stage_confidences(df: DataFrame, stages: list[str]) -> DataFrame:

@@ -8,12 +8,17 @@ from pyspark.sql import Column, functions as F
 CLITIC = r"(?i)(n't|'(?:s|m|d|ll|re|ve))([^\p{L}]|$)"
 # Punctuation that always parts tokens; the marks left out keep a token whole,
 # and such a token is not alphabetic.
-PARTING = r"[^\p{L}\p{M}\p{N}\s'._/\\*+=^~|`-]"
-WORD = r"^'*(\p{L}+)['.]*$"
+PARTING = r"[^\p{L}\p{M}\p{N}\s'._/\\*+=^~|`-]+"
+ALPHABETIC = r"^\p{L}+$"
 
 
-def alphabetic_words(text: Column) -> Column:
-    """Lower-case alphabetic tokens of a text as an array."""
-    parted = F.regexp_replace(F.regexp_replace(text, CLITIC, " $1$2"), PARTING, " ")
-    words = F.transform(F.split(parted, r"\s+", -1), lambda t: F.lower(F.regexp_extract(t, WORD, 1)))
-    return F.filter(words, lambda w: w != "")
+def raw_tokens(text: Column) -> Column:
+    """Tokens of a text as an array, with quotes and full stops still on."""
+    split_clitics = F.when(text.contains("'"), F.regexp_replace(text, CLITIC, " $1$2")).otherwise(text)
+    return F.split(F.regexp_replace(split_clitics, PARTING, " "), r"\s+", -1)
+
+
+def alphabetic_word(token: Column) -> Column:
+    """Lower-case word of a token, NULL if it is not alphabetic."""
+    bare = F.rtrim(F.ltrim(token, F.lit("'")), F.lit("'."))
+    return F.when(bare.rlike(ALPHABETIC), F.lower(bare))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import settled
 
@@ -45,9 +45,10 @@ def kept_in(df: DataFrame, top: DataFrame, on: str) -> DataFrame:
     return df.join(F.broadcast(top.select(on)), on, "left_semi")
 
 
-def word_list(spark, *lists: Sequence[str], name: str = "word") -> DataFrame:
+def word_list(spark: SparkSession, *lists: Sequence[str], name: str = "word") -> DataFrame:
     """Union of fixed word lists without repeats."""
-    frames = [spark.createDataFrame([(w,) for w in words], f"{name} string") for words in lists]
+    one = spark.range(1, numPartitions=1)
+    frames = [one.select(F.explode(F.lit(list(words))).alias(name)) for words in lists]
     union = frames[0]
     for frame in frames[1:]:
         union = union.union(frame)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.words import alphabetic_words
+from ..functions.words import alphabetic_word, raw_tokens
 from .joins import without_words
 
 
@@ -33,13 +33,16 @@ def joined_in_order(
 def word_counts(df: DataFrame, text: str, stop: DataFrame | None = None) -> DataFrame:
     """Occurrences of each alphabetic word, without the stop words.
 
-    Words are exploded and partially counted where their text is, so a word
-    that fills a third of all texts is one row per task in the shuffle.
+    Tokens are counted as they stand, partially where their text is, and only
+    distinct tokens are cleaned and tested. A word that fills a third of all
+    texts is one row per task in the shuffle.
     """
-    words = df.select(F.explode(alphabetic_words(F.col(text))).alias("word"))
+    tokens = df.select(F.explode(raw_tokens(F.col(text))).alias("_token"))
+    counted = tokens.groupBy("_token").agg(F.count("*").alias("_n"))
+    words = counted.select(alphabetic_word(F.col("_token")).alias("word"), "_n").where(F.col("word").isNotNull())
     if stop is not None:
         words = without_words(words, stop)
-    return words.groupBy("word").agg(F.count("*").alias("freq"))
+    return words.groupBy("word").agg(F.sum("_n").alias("freq"))
 
 
 def top_words(df: DataFrame, text: str, k: int, stop: DataFrame | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.columns import day_shift_date, snippet
+from ..functions.columns import day_shift_date, items, snippet
 from ..functions.entities import (
     ANY_ENTITY,
     SENTENCE_BREAK,
@@ -19,7 +19,7 @@ from ..functions.entities import (
 )
 from ..functions.fixed import ENTITY_PATTERNS, ENGLISH_STOP_WORDS, MIN_CONFIDENCE, REPORT_STOP_WORDS
 from ..functions.pages import confidence, pages_by_break, pages_by_length, stage_confidences, with_clean_stages
-from ..functions.words import CLITIC, PARTING, WORD
+from ..functions.words import CLITIC, PARTING
 from ..operators.texts import word_counts
 from ..plans import notes, transcript
 from .base import day_text, query, sql_day, table
@@ -175,10 +175,10 @@ def token_split(spark, folder):
 def token_tags(spark, folder):
     """Tagged tokens; ``entity_label_counts`` also counts the untagged ones."""
     split = sentence_split(spark, folder).withColumn("_tokens", tokens(F.col("sentence")))
-    pairs = split.select(
-        "doc_id", "pos", F.posexplode(F.arrays_zip(F.col("_tokens").alias("token"), tags(F.col("_tokens")).alias("tag")))
-        .alias("token_pos", "pair")
+    tagged = F.arrays_zip(
+        F.col("_tokens").alias("token"), tags(F.col("sentence"), F.col("_tokens")).alias("tag")
     )
+    pairs = split.select("doc_id", "pos", F.posexplode(tagged).alias("token_pos", "pair"))
     return pairs.select(
         "doc_id", "pos", "token_pos", F.col("pair")["token"].alias("token"), F.col("pair")["tag"].alias("ner_label")
     ).where(F.col("ner_label") != "O")
@@ -258,7 +258,7 @@ def arrays_zip_pairs(spark, folder):
 
 @query("explode_pairs", f"SELECT token, ner_label, count(*) AS n FROM ({TAGS_SQL}) GROUP BY ALL")
 def explode_pairs(spark, folder):
-    pairs = annotated_documents(spark, folder).select(F.explode("token_ner_res").alias("p"))
+    pairs = annotated_documents(spark, folder).select(F.explode(items(F.col("token_ner_res"))).alias("p"))
     return (
         pairs.select(F.col("p")["token_result"].alias("token"), F.col("p")["ner_result"].alias("ner_label"))
         .groupBy("token", "ner_label")
@@ -373,13 +373,16 @@ STOP_VALUES = ", ".join(f"({quoted(w)})" for w in ENGLISH_STOP_WORDS + REPORT_ST
 STOP_SQL = f"(SELECT DISTINCT word FROM (VALUES {STOP_VALUES}) AS v(word))"
 
 
+WORD_SQL = r"^'*(\p{L}+)['.]*$"
+
+
 def words_sql(name: str) -> str:
     parted = (
         f"regexp_replace(regexp_replace(text, {quoted(CLITIC)}, ' \\1\\2', 'g'), {quoted(PARTING)}, ' ', 'g')"
     )
     return f"""
         SELECT word, count(*) AS freq
-        FROM (SELECT lower(regexp_extract(token, {quoted(WORD)}, 1)) AS word
+        FROM (SELECT lower(regexp_extract(token, {quoted(WORD_SQL)}, 1)) AS word
               FROM (SELECT unnest(regexp_split_to_array({parted}, '\\s+')) AS token FROM {name}))
         WHERE word <> '' GROUP BY word
     """
