@@ -6,21 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import settled
-
-BROADCAST_ROWS = 200_000
-
-
-def sized(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Settle a join side and mark it for broadcast if it is small enough.
-
-    A side with more rows comes back without the mark: Spark then shuffles
-    both sides and splits skewed partitions at run time.
-    """
-    done = settled(side)
-    return F.broadcast(done) if done.limit(max_rows + 1).count() <= max_rows else done
-
-
 def left_lookup(fact: DataFrame, dimension: DataFrame, condition: Column) -> DataFrame:
     """Left outer join of a fact to a dimension.
 

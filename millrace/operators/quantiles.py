@@ -1,20 +1,20 @@
 """Exact grouped quantiles that hold for groups of any size.
 
-The built-in ``percentile`` keeps all distinct values of a group in the memory
-of one task, and as a window it sorts the whole group there. Here a group with
-many rows is first narrowed:
-
-1. count rows per group; the groups above ``small_group`` rows are *hot*, and
-   at most ``max_hot`` of them, largest first, are handled as such;
-2. histogram of the hot groups on a fixed logarithmic grid (partial sums, a few
-   thousand rows per group), which tells the grid cell of each quantile;
-3. values outside the wanted cells are moved to the nearest cell border. The
+The built-in ``percentile`` keeps the distinct values of a group in the memory
+of one task. That is fine for groups up to ``SMALL_GROUP`` rows and is used for
+them. A group with more rows is *hot* and is narrowed first:
+
+1. a histogram on a fixed logarithmic grid (partial sums, a few thousand rows
+   per group) tells the grid cell of each quantile;
+2. values outside the wanted cells are moved to the nearest cell border. The
    move never changes the order of two values and leaves the wanted cells as
    they are, so the quantiles stay exact, while partial counts per distinct
-   value shrink the group to its wanted cells before the last shuffle.
+   value shrink the group to its wanted cells before the last shuffle;
+3. the values left are sorted, with spilling, and read off by running count.
 
-The groups that are not hot keep all values. They are counted per value, sorted
-with spilling and read off by running count. Nothing is sampled or dropped.
+At most ``MAX_HOT`` groups, the largest ones, are handled as hot, which bounds
+what is broadcast; any other group then holds less than one ``MAX_HOT``-th of
+all rows. Nothing is sampled or dropped.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from ..session import settled
 from .joins import null_safe_join
 
 SMALL_GROUP = 100_000
-MAX_HOT = 10_000
+MAX_HOT = 100_000
 CELLS_PER_OCTAVE = 1024
 
 
@@ -76,55 +76,91 @@ def _moved(value: Column, points: Sequence[float]) -> Column:
     return out.otherwise(F.col(f"_high{len(points) - 1}"))
 
 
-def exact_quantiles(
-    rows: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    points: Mapping[str, float],
-    *,
-    small_group: int = SMALL_GROUP,
-    max_hot: int = MAX_HOT,
-) -> DataFrame:
-    """One row per group with the interpolated quantiles named in ``points``.
-
-    NULL values do not count; a group without values has no row. Equal to
-    ``percentile(value, p)`` up to rounding of the last digit.
-    """
-    keys = list(keys)
-    named = sorted(points.items(), key=lambda item: item[1])
-    ps = [p for _, p in named]
-    data = rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-
-    hot_keys = settled(
-        data.groupBy(*keys)
+def _hot_keys(rows: DataFrame, keys: Sequence[str], value: str, small_group: int, max_hot: int) -> DataFrame | None:
+    """Keys of the groups too large for one task, or None if there are none."""
+    hot = settled(
+        rows.where(F.col(value).isNotNull())
+        .groupBy(*keys)
         .agg(F.count("*").alias("_n"))
         .where(F.col("_n") > small_group)
         .orderBy(F.desc("_n"), *keys)
         .limit(max_hot)
         .select(*keys)
     )
-    if not hot_keys.isEmpty():
-        # At most max_hot rows are broadcast, whatever the size of the data.
-        hot_rows = null_safe_join(data, F.broadcast(hot_keys), keys, "inner")
-        borders = _borders(hot_rows, keys, ps)
-        data = null_safe_join(data, F.broadcast(borders), keys, "left").withColumn("_v", _moved(F.col("_v"), ps))
+    return None if hot.isEmpty() else hot
+
 
+def _values(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    return rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+
+
+def _by_running_count(data: DataFrame, keys: Sequence[str], points: Mapping[str, float]) -> DataFrame:
     whole, running = _running(keys, "_v")
     ranked = (
         data.groupBy(*keys, "_v")
         .agg(F.count("*").alias("_n"))
         .withColumns({"_total": F.sum("_n").over(whole), "_upto": F.sum("_n").over(running)})
     )
-    picks = []
-    for i, p in enumerate(ps):
-        first, second, _ = _ranks(p, F.col("_total"))
+    picks, results = [], []
+    for i, (name, p) in enumerate(points.items()):
+        first, second, at = _ranks(p, F.col("_total"))
         picks.append(F.min(F.when(F.col("_upto") >= first, F.col("_v"))).alias(f"_first{i}"))
         picks.append(F.min(F.when(F.col("_upto") >= second, F.col("_v"))).alias(f"_second{i}"))
-    picked = ranked.groupBy(*keys).agg(F.max("_total").alias("_total"), *picks)
-    results = []
-    for i, (name, p) in enumerate(named):
-        first, second, at = _ranks(p, F.col("_total"))
         low, high = F.col(f"_first{i}"), F.col(f"_second{i}")
         between = (second - 1 - at) * low + (at - (first - 1)) * high
         results.append(F.when(low == high, low).otherwise(between).alias(name))
+    picked = ranked.groupBy(*keys).agg(F.max("_total").alias("_total"), *picks)
     return picked.select(*keys, *results)
+
+
+def exact_quantiles(
+    rows: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    points: Mapping[str, float],
+    *,
+    small_group: int = SMALL_GROUP,
+    max_hot: int = MAX_HOT,
+) -> DataFrame:
+    """One row per group with the interpolated quantiles named in ``points``.
+
+    NULL values do not count; a group without values has no row. The result is
+    that of ``percentile(value, p)``, up to the last digit.
+    """
+    keys, points = list(keys), dict(sorted(points.items(), key=lambda item: item[1]))
+    data, ps = _values(rows, keys, value), list(points.values())
+    hot = _hot_keys(rows, keys, value, small_group, max_hot)
+    if hot is None:
+        found = data.groupBy(*keys).agg(F.percentile("_v", ps).alias("_found"))
+        return found.select(*keys, *(F.col("_found")[i].alias(n) for i, n in enumerate(points)))
+    borders = _borders(null_safe_join(data, F.broadcast(hot), keys, "inner"), keys, ps)
+    moved = null_safe_join(data, F.broadcast(borders), keys, "left").withColumn("_v", _moved(F.col("_v"), ps))
+    return _by_running_count(moved, keys, points)
+
+
+def with_exact_quantiles(
+    rows: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    points: Mapping[str, float],
+    *,
+    small_group: int = SMALL_GROUP,
+    max_hot: int = MAX_HOT,
+) -> DataFrame:
+    """All rows, each with the quantiles of its group.
+
+    Rows of hot groups get them from a broadcast of at most ``max_hot`` rows
+    and are not shuffled; all other rows go through one window.
+    """
+    keys, points = list(keys), dict(sorted(points.items(), key=lambda item: item[1]))
+    hot = _hot_keys(rows, keys, value, small_group, max_hot)
+    cold_rows = rows if hot is None else null_safe_join(rows, F.broadcast(hot), keys, "left_anti")
+    found = F.percentile(F.col(value).cast("double"), list(points.values())).over(Window.partitionBy(*keys))
+    cold = cold_rows.withColumn("_found", found)
+    cold = cold.select(*rows.columns, *(F.col("_found")[i].alias(n) for i, n in enumerate(points)))
+    if hot is None:
+        return cold
+    hot_rows = null_safe_join(rows, F.broadcast(hot), keys, "inner")
+    # One row per hot group: the broadcast has the same bound as the key list.
+    quantiles = exact_quantiles(hot_rows, keys, value, points, small_group=small_group, max_hot=max_hot)
+    return cold.unionByName(null_safe_join(hot_rows, F.broadcast(settled(quantiles)), keys, "left"))

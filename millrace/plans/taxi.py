@@ -15,8 +15,8 @@ from ..functions.fixed import (
     VENDOR_LABELS,
 )
 from ..operators.forecast import hourly_series, predict
-from ..operators.joins import kept_in, null_safe_join, sized
-from ..operators.quantiles import exact_quantiles
+from ..operators.joins import kept_in
+from ..operators.quantiles import exact_quantiles, with_exact_quantiles
 from ..operators.ranking import busiest
 from ..session import settled
 
@@ -71,8 +71,7 @@ def with_fare_per_mile(trips: DataFrame) -> DataFrame:
 
 def with_fare_quartiles(fares: DataFrame, **limits: int) -> DataFrame:
     """Keep every row and add ``q1`` and ``q3`` of its month and location."""
-    quartiles = exact_quantiles(fares, FARE_GROUP, "fare_per_mile", {"q1": 0.25, "q3": 0.75}, **limits)
-    return null_safe_join(fares, sized(quartiles), FARE_GROUP, "left")
+    return with_exact_quantiles(fares, FARE_GROUP, "fare_per_mile", {"q1": 0.25, "q3": 0.75}, **limits)
 
 
 def within_fence(fares: DataFrame, value: str = "fare_per_mile") -> DataFrame:

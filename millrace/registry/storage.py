@@ -346,9 +346,9 @@ def table_roundtrip(spark, folder):
 
 @query("self_overwrite", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice >= 100000")
 def self_overwrite(spark, folder):
-    versions = tables.TableVersions(spark, fresh_path(spark, "orders"), fresh_name("orders"))
-    current = versions.overwrite(table(spark, folder, "orders").select("o_orderkey", "o_totalprice"))
-    return versions.overwrite(current.where(F.col("o_totalprice") >= 100000))
+    name, root = fresh_name("orders"), fresh_path(spark, "orders")
+    current = tables.overwrite_table(table(spark, folder, "orders").select("o_orderkey", "o_totalprice"), name, root)
+    return tables.overwrite_table(current.where(F.col("o_totalprice") >= 100000), name, root)
 
 
 @query("replace_table", "SELECT p_partkey, p_name, p_size FROM part")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-import csv as _csv
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
+
+from .files import inventory
+
+HEADER_JOBS = 16
 
 
 def csv_view(spark: SparkSession, path: str, view: str) -> DataFrame:
@@ -34,51 +38,42 @@ def csv_with_schema(
     return reader.csv(path)
 
 
-def with_line_origin(lines: DataFrame) -> DataFrame:
-    """Text lines with the file they come from and whether their block is the
-    file's first."""
-    return lines.select(
-        "value",
-        F.col("_metadata.file_path").alias("_file"),
-        (F.col("_metadata.file_block_start") == 0).alias("_first_block"),
-    )
-
-
-def files_by_header(lines: DataFrame) -> list[tuple[str, list[str]]]:
-    """Header line and files, one entry per distinct header.
+def files_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """CSV files grouped by their header.
 
-    ``lines`` comes from ``with_line_origin``. The first line of each file is
-    found by the tasks that read the file; the driver gets one path per file,
-    as it already does when it lists a folder.
+    Spark reads the header of a file in a job of one task that stops at the
+    first line; a pool keeps several of these jobs going. No file is read
+    through for its header.
     """
-    first = (
-        lines.where("_first_block")
-        .select("_file", "value", F.monotonically_increasing_id().alias("_at"))
-        .groupBy("_file")
-        .agg(F.min_by("value", "_at").alias("header"))
-    )
-    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("_file")).alias("files"))
-    return sorted((row["header"], list(row["files"])) for row in groups.collect())
 
+    def header(path: str) -> tuple[str, ...]:
+        return tuple(spark.read.option("header", True).csv(path).columns)
 
-def header_names(header: str) -> list[str]:
-    return [name.strip() for name in next(_csv.reader([header.lstrip("﻿")]))]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(HEADER_JOBS) as pool:
+        for path, names in zip(paths, pool.map(header, paths)):
+            groups.setdefault(names, []).append(path)
+    return groups
 
 
-def read_header_groups(spark: SparkSession, groups: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+def read_header_groups(spark: SparkSession, groups: Mapping[tuple[str, ...], Sequence[str]]) -> DataFrame | None:
     """Files read by their own header and stacked by column name.
 
     Every column is text; a column that a file lacks is NULL for its rows.
+    Files without any header have no rows; if there are no others, neither is
+    there a result.
     """
     stacked = None
-    for header, files in groups:
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in header_names(header)])
-        part = spark.read.schema(schema).option("header", True).csv(list(files))
+    for names, paths in groups.items():
+        if not names:
+            continue
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        part = spark.read.schema(schema).option("header", True).csv(list(paths))
         stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
     return stacked
 
 
-def csv_by_header(spark: SparkSession, path: str) -> DataFrame:
+def csv_by_header(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame | None:
     """CSV folder whose files differ in column order or columns."""
-    lines = with_line_origin(spark.read.text(path, recursiveFileLookup=True))
-    return read_header_groups(spark, files_by_header(lines))
+    paths = [row["path"] for row in inventory(spark, path, pattern).select("path").orderBy("path").collect()]
+    return read_header_groups(spark, files_by_header(spark, paths))

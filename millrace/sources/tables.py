@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -43,7 +44,7 @@ def create_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame
 def replace_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Create a catalog table from a query, or replace the one that is there.
 
-    The query must not read the table; ``TableVersions`` covers that case.
+    The query must not read the table; ``overwrite_table`` covers that case.
     """
     writer = df.write.format("parquet").mode("overwrite")
     (writer.option("path", path) if path else writer).saveAsTable(name)
@@ -68,28 +69,24 @@ def write_partitioned(df: DataFrame, path: str, column: str) -> str:
     return path
 
 
-class TableVersions:
-    """A path table that can be overwritten from a frame that reads it.
+def overwrite_table(df: DataFrame, name: str, root: str) -> DataFrame:
+    """Replace a catalog table by a frame that may read the same table.
 
-    Each write goes to a folder of its own and the view is moved to it only
-    when the write is done, so a failed job leaves the last version in place.
-    Old folders are kept; removing them is up to the caller.
+    The rows go to a new folder below ``root`` and the table is pointed there
+    when the write is done, so a failed job leaves the table as it was. The
+    old folder is kept for readers that still use it; removing it is up to the
+    caller.
     """
-
-    def __init__(self, spark: SparkSession, root: str, view: str):
-        self.spark, self.root, self.view = spark, root.rstrip("/"), view
-        self.path: str | None = None
-        self._number = 0
-
-    def overwrite(self, df: DataFrame) -> DataFrame:
-        self._number += 1
-        path = write_path(df, f"{self.root}/v{self._number}")
-        self.path = path
-        self.spark.read.parquet(path).createOrReplaceTempView(self.view)
-        return self.read()
-
-    def read(self) -> DataFrame:
-        return self.spark.table(self.view)
+    spark = df.sparkSession
+    path = write_path(df, f"{root.rstrip('/')}/{uuid.uuid4().hex}")
+    written = spark.read.parquet(path).schema
+    if spark.catalog.tableExists(name) and spark.table(name).schema == written:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+    else:
+        drop_table(spark, name)
+        spark.catalog.createTable(name, path, source="parquet")
+    return spark.table(name)
 
 
 def files_needed(spark: SparkSession, path: str, file_bytes: int = FILE_BYTES) -> int:

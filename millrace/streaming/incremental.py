@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.casts import cast_columns
-from ..sources.csv import files_by_header, read_header_groups, with_line_origin
+from ..sources.csv import files_by_header, read_header_groups
 
 FILES_PER_BATCH = 10_000
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def copy_new_files(
@@ -20,6 +21,7 @@ def copy_new_files(
     columns: Mapping[str, str],
     *,
     evolve: bool = False,
+    pattern: str = "*.csv",
     files_per_batch: int = FILES_PER_BATCH,
 ) -> None:
     """Append the CSV files of ``source`` that were not loaded before.
@@ -30,18 +32,24 @@ def copy_new_files(
     ``columns`` on the way; with ``evolve`` further columns of the files are
     kept as text.
     """
-    lines = with_line_origin(
-        spark.readStream.format("text")
+    # Only the path column is asked for, so the stream lists files without
+    # reading their content.
+    arrivals = (
+        spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
         .option("maxFilesPerTrigger", files_per_batch)
         .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern)
         .load(source)
+        .select("path")
     )
 
     def load(batch: DataFrame, number: int) -> None:
-        groups = files_by_header(batch)
-        if not groups:
+        paths = sorted(row["path"] for row in batch.collect())
+        session = batch.sparkSession
+        rows = read_header_groups(session, files_by_header(session, paths))
+        if rows is None:
             return
-        rows = read_header_groups(batch.sparkSession, groups)
         wanted = dict(columns)
         if evolve:
             known = {name.lower() for name in columns}
@@ -49,7 +57,7 @@ def copy_new_files(
         cast_columns(rows, wanted).write.mode("overwrite").parquet(f"{target}/_batch={number}")
 
     query = (
-        lines.writeStream.foreachBatch(load)
+        arrivals.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
