@@ -6,16 +6,16 @@ from pyspark.sql import Column, functions as F
 
 # Clitics stand as tokens of their own, so "it's" counts as "it".
 CLITIC = r"(?i)(n't|'(?:s|m|d|ll|re|ve))([^\p{L}]|$)"
-# Punctuation that always parts tokens; the marks left out keep a token whole,
-# and such a token is not alphabetic.
-PARTING = r"[^\p{L}\p{M}\p{N}\s'._/\\*+=^~|`-]+"
+# Blanks and the punctuation that always parts tokens. The marks listed here
+# keep a token whole, and such a token is not alphabetic.
+PARTING = r"[^\p{L}\p{M}\p{N}'._/\\*+=^~|`-]+"
 ALPHABETIC = r"^\p{L}+$"
 
 
 def raw_tokens(text: Column) -> Column:
     """Tokens of a text as an array, with quotes and full stops still on."""
     split_clitics = F.when(text.contains("'"), F.regexp_replace(text, CLITIC, " $1$2")).otherwise(text)
-    return F.split(F.regexp_replace(split_clitics, PARTING, " "), r"\s+", -1)
+    return F.split(split_clitics, PARTING, -1)
 
 
 def alphabetic_word(token: Column) -> Column:

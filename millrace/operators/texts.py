@@ -17,13 +17,12 @@ def joined_in_order(
 
     ``texts`` maps output names to input columns. The parts travel with their
     order, because rows arrive from a shuffle in no fixed order. The state per
-    key is the joined text itself, which has to fit in one output cell; a NULL
-    part is left out.
+    key is its joined text; a cell holds at most 2 GB, so a key that has a
+    result at all fits one task. A row whose first text is NULL is left out.
     """
     inputs = list(dict.fromkeys(texts.values()))
-    grouped = df.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(*order, *inputs))).alias("_parts")
-    )
+    part = F.when(F.col(inputs[0]).isNotNull(), F.struct(*order, *inputs))
+    grouped = df.groupBy(*keys).agg(F.array_sort(F.collect_list(part)).alias("_parts"))
     return grouped.select(
         *keys,
         *(F.concat_ws(separator, F.col(f"_parts.{name}")).alias(out) for out, name in texts.items()),
@@ -39,7 +38,10 @@ def word_counts(df: DataFrame, text: str, stop: DataFrame | None = None) -> Data
     """
     tokens = df.select(F.explode(raw_tokens(F.col(text))).alias("_token"))
     counted = tokens.groupBy("_token").agg(F.count("*").alias("_n"))
-    words = counted.select(alphabetic_word(F.col("_token")).alias("word"), "_n").where(F.col("word").isNotNull())
+    # The word depends on the count, so that the optimizer cannot move the tests
+    # of the word below the count, to every single token.
+    word = F.when(F.col("_n") > 0, alphabetic_word(F.col("_token")))
+    words = counted.select(word.alias("word"), "_n").where(F.col("word").isNotNull())
     if stop is not None:
         words = without_words(words, stop)
     return words.groupBy("word").agg(F.sum("_n").alias("freq"))

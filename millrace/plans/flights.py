@@ -50,5 +50,5 @@ def publish(clean: DataFrame, path: str) -> str:
 
 
 def optimize(spark: SparkSession, path: str, out: str, files: int) -> str:
-    """Cluster the clean flights on the airline."""
-    return cluster(spark.read.parquet(path), "Airline", out, files)
+    """Cluster the clean flights of each year on the airline."""
+    return cluster(spark.read.parquet(path), "Airline", out, files, partition_by="Year")

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.columns import day_shift_date, items, snippet
 from ..functions.entities import (
     ANY_ENTITY,
+    ENTITY_HINT,
     SENTENCE_BREAK,
     annotated,
     chunks,
@@ -173,8 +174,12 @@ def token_split(spark, folder):
 
 @query("token_tags", f"SELECT doc_id, pos, token_pos, token, ner_label FROM ({TAGS_SQL}) WHERE ner_label <> 'O'")
 def token_tags(spark, folder):
-    """Tagged tokens; ``entity_label_counts`` also counts the untagged ones."""
-    split = sentence_split(spark, folder).withColumn("_tokens", tokens(F.col("sentence")))
+    """Tagged tokens; ``entity_label_counts`` also counts the untagged ones.
+
+    A sentence without a hint has no tagged token and is not split at all.
+    """
+    hinted = sentence_split(spark, folder).where(F.col("sentence").rlike(ENTITY_HINT))
+    split = hinted.withColumn("_tokens", tokens(F.col("sentence")))
     tagged = F.arrays_zip(
         F.col("_tokens").alias("token"), tags(F.col("sentence"), F.col("_tokens")).alias("tag")
     )
@@ -377,13 +382,10 @@ WORD_SQL = r"^'*(\p{L}+)['.]*$"
 
 
 def words_sql(name: str) -> str:
-    parted = (
-        f"regexp_replace(regexp_replace(text, {quoted(CLITIC)}, ' \\1\\2', 'g'), {quoted(PARTING)}, ' ', 'g')"
-    )
+    tokens = f"regexp_split_to_array(regexp_replace(text, {quoted(CLITIC)}, ' \\1\\2', 'g'), {quoted(PARTING)})"
     return f"""
         SELECT word, count(*) AS freq
-        FROM (SELECT lower(regexp_extract(token, {quoted(WORD_SQL)}, 1)) AS word
-              FROM (SELECT unnest(regexp_split_to_array({parted}, '\\s+')) AS token FROM {name}))
+        FROM (SELECT lower(regexp_extract(unnest({tokens}), {quoted(WORD_SQL)}, 1)) AS word FROM {name})
         WHERE word <> '' GROUP BY word
     """
 

@@ -95,26 +95,34 @@ def files_needed(spark: SparkSession, path: str, file_bytes: int = FILE_BYTES) -
     return max(1, math.ceil(total / file_bytes))
 
 
-def compact(spark: SparkSession, path: str, out: str, file_bytes: int = FILE_BYTES) -> str:
+def compact(
+    spark: SparkSession, path: str, out: str, file_bytes: int = FILE_BYTES, partition_by: str | None = None
+) -> str:
     """Rewrite a path table into fewer files of about ``file_bytes``.
 
     The scan packs small files into tasks by size; joining neighbouring tasks
-    keeps rows in file order and moves none across the network.
+    keeps rows in file order and moves none across the network. A table with
+    partition folders keeps them, at the price of one rebalancing shuffle.
     """
-    spark.read.parquet(path).coalesce(files_needed(spark, path, file_bytes)).write.mode("overwrite").parquet(out)
-    return out
+    rows = spark.read.parquet(path)
+    if partition_by is not None:
+        return write_partitioned(rows, out, partition_by)
+    return write_path(rows.coalesce(files_needed(spark, path, file_bytes)), out)
 
 
-def cluster(df: DataFrame, column: str, out: str, files: int) -> str:
+def cluster(df: DataFrame, column: str, out: str, files: int, partition_by: str | None = None) -> str:
     """Rewrite rows so that a file covers a narrow range of ``column``.
 
     Readers that filter on the column then skip files and row groups. The row
-    number is a second range key: a value with many rows is cut over as many
-    files as its share asks for instead of going through one task.
+    number is a last range key: a value with many rows is cut over as many
+    files as its share asks for instead of going through one task. Partition
+    folders are kept and clustered each for itself.
     """
+    keys = [column] if partition_by is None else [partition_by, column]
     numbered = df.withColumn("_row", F.monotonically_increasing_id())
-    ranged = numbered.repartitionByRange(files, column, "_row").sortWithinPartitions(column)
-    ranged.drop("_row").write.mode("overwrite").parquet(out)
+    ranged = numbered.repartitionByRange(files, *keys, "_row").sortWithinPartitions(*keys).drop("_row")
+    writer = ranged.write.mode("overwrite")
+    (writer if partition_by is None else writer.partitionBy(partition_by)).parquet(out)
     return out
 
 

@@ -178,4 +178,8 @@ def test_flights_end_to_end(spark, tmp_path):
     assert got == [(2020, "American Airlines", 2.0), (2021, None, 2.0), (None, "Twice", 2.0), (None, "Twice", 2.0)]
     plan = published.where("Year = 2020")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(Year" in plan
-    assert spark.read.parquet(flights.optimize(spark, path, str(tmp_path / "z"), 2)).count() == 4
+    optimized = spark.read.parquet(flights.optimize(spark, path, str(tmp_path / "z"), 2))
+    assert optimized.count() == 4 and optimized.columns[-1] == "Year"
+    assert (tmp_path / "z" / "Year=2020").is_dir()
+    packed = tables.compact(spark, path, str(tmp_path / "packed"), partition_by="Year")
+    assert (tmp_path / "packed" / "Year=2021").is_dir() and spark.read.parquet(packed).count() == 4
