@@ -93,7 +93,7 @@ def items(array: Column) -> Column:
     Exploding a bare column makes the optimizer test its size as early as it
     can, which for a computed array means computing it two more times.
     """
-    return F.filter(array, lambda item: item.isNotNull())
+    return F.flatten(F.array(array))
 
 
 def path_id(path: Column) -> Column:

@@ -32,12 +32,12 @@ def sentences(text: Column) -> Column:
     """Sentences of a text as an array, without the blanks that follow them."""
     marked = F.regexp_replace(_unmarked(text), f"({SENTENCE_BREAK})", f"$1{MARK}")
     parts = F.transform(F.split(marked, MARK, -1), lambda s: F.rtrim(s, F.lit(BLANKS)))
-    return F.filter(parts, lambda s: s != "")
+    return F.array_remove(parts, "")
 
 
 def tokens(sentence: Column) -> Column:
     """Blank-separated tokens of a sentence as an array."""
-    return F.filter(F.split(sentence, r"\s+", -1), lambda t: t != "")
+    return F.array_remove(F.split(sentence, r"\s+", -1), "")
 
 
 def tags(sentence: Column, token_array: Column) -> Column:
@@ -66,7 +66,7 @@ def tags(sentence: Column, token_array: Column) -> Column:
         return chosen.otherwise("O")
 
     return F.when(sentence.rlike(ENTITY_HINT), F.transform(token_array, tag)).otherwise(
-        F.transform(token_array, lambda _: F.lit("O"))
+        F.array_repeat(F.lit("O"), F.size(token_array))
     )
 
 

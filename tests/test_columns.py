@@ -58,9 +58,9 @@ def test_quality_rules_drop_null_and_negative(spark):
 
 
 def test_small_text_helpers(spark):
-    df = spark.createDataFrame([(" phi ocr x ", "http://a/b/c.pdf", "Delta Air: DL"), (None, None, None)], "s string, u string, k string")
+    df = spark.createDataFrame([(" my own notes ", "http://a/b/c.pdf", "Delta Air: DL"), (None, None, None)], "s string, u string, k string")
     got = values(df.select(c.slug(F.col("s")), c.last_segment(F.col("u")), c.first_part(F.col("k"))))
-    assert got == [("phi-ocr-x", "c.pdf", "Delta Air"), (None, None, None)]
+    assert got == [("my-own-notes", "c.pdf", "Delta Air"), (None, None, None)]
     whole = spark.createDataFrame([("no delimiter",)], "k string").select(c.first_part(F.col("k")))
     assert values(whole) == [("no delimiter",)]
     assert values(spark.range(1).select(c.month_label(F.lit(2022), F.lit(3)))) == [("2022-03",)]
