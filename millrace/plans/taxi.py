@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.columns import in_years, labelled, month_label, month_start, ratio, renamed
 from ..functions.fixed import (
@@ -19,6 +20,8 @@ from ..operators.joins import kept_in
 from ..operators.quantiles import exact_quantiles, with_exact_quantiles
 from ..operators.ranking import busiest
 from ..session import settled
+from ..sources.csv import csv_with_schema, inferred_schema
+from ..sources.tables import compact_table, create_table, drop_table, overwrite_table
 
 FARE_GROUP = ["pickup_month", "pickup_location_id"]
 
@@ -50,6 +53,30 @@ def good_trips(trips: DataFrame, years: Iterable[int] = (2021, 2022)) -> DataFra
     return trips.where(test)
 
 
+def build_tables(
+    spark: SparkSession,
+    sample: str,
+    folder: str,
+    root: str,
+    *,
+    bronze: str = "trips_bronze",
+    silver: str = "trips_silver",
+    years: Iterable[int] = (2021, 2022),
+) -> DataFrame:
+    """CSV files to the bronze table and on to the compacted silver table.
+
+    The schema comes from one sample file. Silver is written with its labels,
+    and again without the bad trips, from a frame that reads it.
+    """
+    raw = csv_with_schema(spark, folder, inferred_schema(spark, sample))
+    drop_table(spark, bronze)
+    create_table(raw, bronze, f"{root}/{bronze}-{uuid.uuid4().hex}")
+    place = f"{root}/{silver}"
+    overwrite_table(with_labels(silver_names(spark.table(bronze))), silver, place)
+    overwrite_table(good_trips(spark.table(silver), years), silver, place)
+    return compact_table(spark, silver, place)
+
+
 def silver(raw: DataFrame, years: Iterable[int] = (2021, 2022)) -> DataFrame:
     return good_trips(with_labels(silver_names(raw)), years)
 

@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.columns import last_segment, path_id
 
 
-def binary_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+def binary_files(spark: SparkSession, path: str, pattern: str = "*", ordered: bool = False) -> DataFrame:
     """``path, modificationTime, length, content`` of the files that fit a name
-    pattern, in no fixed order. Sort for display only: a sort moves content."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    pattern. ``ordered`` sorts them by path for display; a job that goes on with
+    the content should not ask for it, because the sort moves the content."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    return files.orderBy("path") if ordered else files
 
 
 def with_path_id(files: DataFrame) -> DataFrame:

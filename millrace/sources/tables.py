@@ -110,6 +110,17 @@ def compact(
     return write_path(rows.coalesce(files_needed(spark, path, file_bytes)), out)
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    described = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
+def compact_table(spark: SparkSession, name: str, root: str, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """Compact a catalog table without partition folders under its own name."""
+    number = files_needed(spark, table_location(spark, name), file_bytes)
+    return overwrite_table(spark.table(name).coalesce(number), name, root)
+
+
 def cluster(df: DataFrame, column: str, out: str, files: int, partition_by: str | None = None) -> str:
     """Rewrite rows so that a file covers a narrow range of ``column``.
 

@@ -51,6 +51,25 @@ def test_headers_in_any_order_and_new_columns(spark, tmp_path):
     assert sorted(got.collect()) == [(1, 10.0, None), (2, 20.0, None), (3, 30.0, "new")]
 
 
+def test_stream_lists_files_without_reading_them(spark, tmp_path):
+    drop_file(tmp_path / "in", "a.csv", "x,y\n1,1.5\n2,2.5\n")
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(limit, "1")
+    try:
+        load(spark, tmp_path)
+    finally:
+        spark.conf.unset(limit)
+    assert rows(loaded(spark, str(tmp_path / "out"))) == [(1, 1.5), (2, 2.5)]
+
+
+def test_binary_files_in_path_order(spark, tmp_path):
+    for name in ("b.txt", "c.bin", "a.txt"):
+        drop_file(tmp_path / "f", name, name)
+    got = files.binary_files(spark, str(tmp_path / "f"), "*.txt", ordered=True).collect()
+    assert [bytes(r.content) for r in got] == [b"a.txt", b"b.txt"]
+    assert got[0].path.endswith("a.txt")
+
+
 def test_empty_file_is_skipped(spark, tmp_path):
     drop_file(tmp_path / "in", "a.csv", "")
     drop_file(tmp_path / "in", "b.csv", "x,y\n1,1\n")
