@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,15 +33,13 @@ def local_session(cores: int | str = 8, **extra: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder: on a
-    cluster a machine-local folder would be lost with the machine.
+    Without that setting it is a folder in the warehouse, which all executors
+    share as well.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="millrace-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root.rstrip("/")
