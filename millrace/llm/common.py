@@ -49,3 +49,11 @@ def rows(batches: Iterator[pa.RecordBatch], most_bytes: int = 16 << 20) -> Itera
         share = max(1, int(batch.num_rows * most_bytes / max(1, batch.nbytes)))
         for start in range(0, batch.num_rows, share):
             yield batch.slice(start, share)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
