@@ -38,7 +38,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from .common import documents, rows, saved
 from .registry import query
 
-CAPACITY, SMALL, GROUPS = 2048, 256, 384
+CAPACITY, SMALL, GROUPS = 2048, 768, 1024
 END_ID = 0
 
 #: A run of pieces of one length: first rank, first sequence, count, offset in each sequence.

@@ -20,4 +20,4 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-from . import byte_bpe, packing, pii, quality  # noqa: E402, F401
+from . import byte_bpe, line_dedup, packing, pii, quality  # noqa: E402, F401
