@@ -29,7 +29,7 @@ from .registry import query
 #: Words a recursive query takes at once, and ids an ordered aggregation takes at once; they bound its memory.
 WORDS_AT_ONCE, IDS_AT_ONCE = 40_000, 500_000
 #: Entries of a generation of the segment cache; two generations are kept.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 700_000
 #: Characters of a text that are segmented at once.
 PIECE = 4 << 20
 
