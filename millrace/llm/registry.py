@@ -20,4 +20,4 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-from . import byte_bpe, line_dedup, ngram_join, packing, pii, quality  # noqa: E402, F401
+from . import byte_bpe, hmm, line_dedup, ngram_join, packing, pii, quality  # noqa: E402, F401
