@@ -48,7 +48,7 @@ def _prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def _point(shingles: np.ndarray) -> np.ndarray:
+def point_of(shingles: np.ndarray) -> np.ndarray:
     return np.bincount((shingles >> _U64(40)) % _U64(GROUPS), minlength=GROUPS).astype("<u4")
 
 
@@ -96,7 +96,7 @@ def frequent(docs: DataFrame, n: int, percent: int, text: str) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, heavy: np.ndarray, n: int, percent: int, text: str, key: str) -> DataFrame:
-    """Key, ``node`` (64-bit hash of the set, NULL for an empty one), ``size``, ``point`` and ``prefix`` per row."""
+    """Key, ``node`` (64-bit hash of the set, NULL for an empty one), ``size``, ``point`` and ``blocks`` (prefix shingles) per row."""
     by_value = np.argsort(heavy)
     shared = docs.sparkSession.sparkContext.broadcast((heavy[by_value], by_value))
 
@@ -120,20 +120,20 @@ def _sets(docs: DataFrame, heavy: np.ndarray, n: int, percent: int, text: str, k
                         prefix = np.concatenate([prefix, last[: need - len(prefix)]])
                 else:
                     prefix = _bottom(own, need)
-                nodes.append(_node(own))
-                points.append(_point(own).tobytes())
+                nodes.append(node_of(own))
+                points.append(point_of(own).tobytes())
                 prefixes.append(prefix.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(points, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["key", "node", "size", "point", "prefix"],
+                names=["key", "node", "size", "point", "blocks"],
             )
 
     given = docs.select(F.col(key).alias("key"), whole_text(text).alias("text"))
     kind = given.schema["key"].dataType.simpleString()
-    return given.mapInArrow(run, f"key {kind}, node long, size long, point binary, prefix array<long>")
+    return given.mapInArrow(run, f"key {kind}, node long, size long, point binary, blocks array<long>")
 
 
-def _node(own: np.ndarray) -> int:
+def node_of(own: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
@@ -245,7 +245,7 @@ def _own_sets(docs: DataFrame, keys: DataFrame, n: int, text: str, key: str) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows(batches):
             made = [_set(t, n) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            keep = pa.array([i for i, own in enumerate(made) if _node(own) == batch.column(0)[i].as_py()], pa.int64())
+            keep = pa.array([i for i, own in enumerate(made) if node_of(own) == batch.column(0)[i].as_py()], pa.int64())
             sets = pa.array([own.astype("<u8").tobytes() for own in made], pa.binary())
             yield pa.RecordBatch.from_arrays([c.take(keep) for c in (*batch.columns[:-1], sets)], names=[*batch.schema.names[:-1], "own"])
 
@@ -261,11 +261,16 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = S
     """
     docs = docs.select(F.col(key), F.col(text))
     sets = saved(_sets(docs, frequent(docs, n, percent, text), n, percent, text, key), "sets")
+    return linked_classes(docs, sets, n, percent, text, key)
+
+
+def linked_classes(docs: DataFrame, sets: DataFrame, n: int, percent: int, text: str, key: str) -> DataFrame:
+    """The classes of `classes`, given ``key, node, size, point`` and the ``blocks`` in which a set meets others."""
     filled = sets.where("size > 0")
 
-    # Shingles of prefixes that occur in two different sets, with two of their sets as hubs.
+    # Blocks of two different sets and more, with two of their sets as hubs.
     by_token = Window.partitionBy("token")
-    met = filled.select("node", F.explode("prefix").alias("token")).withColumns({"low": F.min("node").over(by_token), "high": F.max("node").over(by_token)})
+    met = filled.select("node", F.explode("blocks").alias("token")).withColumns({"low": F.min("node").over(by_token), "high": F.max("node").over(by_token)})
     met = saved(met.where("low < high").distinct(), "met")
     hubs = met.select("node", F.explode(F.array("low", "high")).alias("hub")).where("node <> hub").groupBy("node", "hub").count()
     hubs = hubs.groupBy("node").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
