@@ -13,7 +13,6 @@ from ..session import fresh_path
 #: The white space of the contracts: a blank and the characters 9 to 13.
 BLANK = r"\x20\x09-\x0D"
 WORD = re.compile(rf"[^{BLANK}]+")
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 _OTHER_BLANKS = re.compile(rf"[^\S{BLANK}]")
 
 
@@ -24,7 +23,7 @@ def words(text: str) -> list[str]:
 
 def lower(text: str) -> str:
     """Lower-case A to Z only."""
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:

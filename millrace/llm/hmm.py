@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from .common import documents, lower, rows, saved, whole_text, words
+from .common import documents, rows, saved, whole_text
 from .registry import query
 from .shingles import word_hashes
 
@@ -50,12 +50,6 @@ def held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-class _Numbers(dict):
-    def __missing__(self, word: str) -> int:
-        number = self[word] = len(self)
-        return number
-
-
 def blocks(docs: DataFrame, text: str, key: str) -> DataFrame:
     """Block rows (keys, held out, sizes, compressed word numbers, class of each number) and word rows
     (block, number, hash, count in training texts)."""
@@ -63,14 +57,17 @@ def blocks(docs: DataFrame, text: str, key: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for batch in rows(batches, BLOCK):
-            local = _Numbers()
-            found = [np.fromiter(map(local.__getitem__, words(lower(t))), np.int32) for t in batch.column(2).to_pylist()]
-            held = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            hashes = word_hashes(list(local)).view(np.int64)
-            train = [f for f, h in zip(found, held) if not h]
-            counts = np.bincount(np.concatenate(train), minlength=len(local)) if train else np.zeros(len(local), np.int64)
-            packed = zstandard.compress(np.concatenate(found).astype("<i4").tobytes() if found else b"", 1)
+            found = [word_hashes(t, fold=True) for t in batch.column(2).to_pylist()]
             sizes = [len(f) for f in found]
+            held = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            local, ids, often = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+            # Small numbers for frequent words compress better.
+            order = np.argsort(-often, kind="stable")
+            numbers = np.empty(len(local), np.int32)
+            numbers[order] = np.arange(len(local), dtype=np.int32)
+            ids, hashes = numbers[ids], local[order].view(np.int64)
+            counts = np.bincount(ids[np.repeat(~held, sizes)], minlength=len(local))
+            packed = zstandard.compress(ids.astype("<i4").tobytes(), 1)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()),
@@ -203,7 +200,7 @@ def _centres(docs: DataFrame, text: str, key: str) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows(batches):
-            made = [_vector((word_hashes(words(lower(t))) & np.uint64(CLASSES - 1)).astype(np.int64)) for t in batch.column(0).to_pylist()]
+            made = [_vector((word_hashes(t, fold=True) & np.uint64(CLASSES - 1)).astype(np.int64)) for t in batch.column(0).to_pylist()]
             yield pa.record_batch([pa.array([m.astype("<f4").tobytes() for m in made], pa.binary())], ["v"])
 
     keys = docs.select(F.col(key).alias("key")).where(~held_out("key") & F.col("key").isNotNull()).orderBy(F.xxhash64("key"), "key").limit(SEEDS)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import documents, lower, rows, saved, whole_text, words
+from .common import documents, rows, saved, whole_text
 from .ngram_join import linked_classes, node_of, point_of
 from .registry import query
 from .shingles import shingle_set, window_hashes, word_hashes
@@ -52,12 +52,12 @@ def _shingles(hashes: np.ndarray) -> np.ndarray:
 
 def signature(text: str) -> np.ndarray:
     """The least 32-bit value of each permutation; all ones without words."""
-    return _least(_shingles(word_hashes(words(lower(text))))) >> np.uint64(32)
+    return _least(_shingles(word_hashes(text, fold=True))) >> np.uint64(32)
 
 
 def _two_signatures(text: str, edited: str) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of a text and its edited form, the shingles they begin with taken once."""
-    a, b = (word_hashes(words(lower(t))) for t in (text, edited))
+    a, b = (word_hashes(t, fold=True) for t in (text, edited))
     n = min(len(a), len(b))
     differ = np.flatnonzero(a[:n] != b[:n])
     same = int(differ[0]) if len(differ) else n
@@ -174,7 +174,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
         for batch in rows(batches):
             nodes, sizes, points, bands = [], [], [], []
             for value in batch.column(1).to_pylist():
-                own = shingle_set(word_hashes(words(lower(value))), SHINGLE)
+                own = shingle_set(word_hashes(value, fold=True), SHINGLE)
                 sign = (_least(own) >> np.uint64(32)).astype("<u4")
                 cut = range(0, PERMUTATIONS - BAND + 1, BAND)
                 sizes.append(len(own))

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import documents, lower, rows, saved, whole_text, words
+from .common import documents, rows, saved, whole_text
 from .graph import components
 from .registry import query
 from .shingles import shingle_set, word_hashes
@@ -41,7 +41,7 @@ _U64 = np.uint64
 
 
 def _set(text: str, n: int) -> np.ndarray:
-    return shingle_set(word_hashes(words(lower(text))), n)
+    return shingle_set(word_hashes(text, fold=True), n)
 
 
 def _prefix_size(n: int, percent: int) -> int:

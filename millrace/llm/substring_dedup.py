@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import documents, rows, saved, whole_text, words
 from .registry import query
-from .shingles import mixed, window_hashes, word_hashes
+from .shingles import byte_words, distinct, encoded, mixed, window_hashes, word_hashes
 
 WINDOW, GRAM, STEP = 50, 10, 10
 #: Bytes of text in a block, and suffixes of a subtree; both bound a task's memory.
@@ -56,13 +56,10 @@ def _windows(hashes: np.ndarray, window: int) -> np.ndarray:
     return least
 
 
-def _runs(values: np.ndarray) -> list[tuple[int, int]]:
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and lengths of runs of one value."""
-    if not len(values):
-        return []
-    edges = np.flatnonzero(values[1:] != values[:-1]) + 1
-    starts = np.concatenate([[0], edges])
-    return list(zip(starts.tolist(), np.diff(np.concatenate([starts, [len(values)]])).tolist()))
+    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+    return starts, np.diff(np.append(starts, len(values)))
 
 
 def _stored(docs: DataFrame, text: str, key: str, window: int) -> DataFrame:
@@ -72,14 +69,14 @@ def _stored(docs: DataFrame, text: str, key: str, window: int) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         for batch in rows(batches, BLOCK):
             keys, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            found = [_windows(word_hashes(words(t)), window) for t in texts]
-            values = np.concatenate([np.unique(f) for f in found]) if found else np.zeros(0, np.uint64)
-            owners = np.repeat(keys, [len(np.unique(f)) for f in found])
+            found = [distinct(_windows(word_hashes(t), window)) for t in texts]
+            values = np.concatenate(found)
+            owners = np.repeat(keys, [len(f) for f in found])
             order = np.lexsort((owners, values))
             values, owners = values[order], owners[order]
             first = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
             last = np.append(first[1:], len(values)) - 1
-            raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+            raw = [encoded(t) for t in texts]
             packed, n = zstandard.compress(b"".join(raw), 3), len(first)
             lists = [pa.array([keys.tolist()], pa.list_(pa.int64())), pa.array([packed], pa.binary()), pa.array([[len(r) for r in raw]], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays([pa.array([number]), *lists, *(pa.nulls(1, pa.int64()) for _ in range(3))], names=names)
@@ -112,14 +109,17 @@ def _pieces(with_grams: DataFrame, window: int) -> DataFrame:
                 grams = np.sort(np.array(row["grams"], np.int64).view(np.uint64))
                 out, held = [], 0
                 for doc, (key, text) in enumerate(zip(row["keys"], _texts(row["packed"], row["sizes"]))):
-                    found = words(text)
-                    groups = _windows(word_hashes(found), window)
-                    for start, size in _runs(groups):
-                        at = np.searchsorted(grams, groups[start])
-                        if at < len(grams) and grams[at] == groups[start]:
-                            content = " ".join(found[start : start + size + window - 1])
-                            out.append((groups[start].view(np.int64).item(), row["block"], doc, key, start, size, content))
-                            held += len(content)
+                    raw = encoded(text)
+                    hashes, begins, ends = byte_words(raw)
+                    groups = _windows(hashes, window)
+                    starts, sizes = _runs(groups)
+                    values = groups[starts]
+                    at = np.minimum(np.searchsorted(grams, values), len(grams) - 1)
+                    for r in np.flatnonzero(grams[at] == values).tolist():
+                        start, size = int(starts[r]), int(sizes[r])
+                        content = raw[begins[start] : ends[start + size + window - 2]].decode("utf-8", "surrogatepass")
+                        out.append((int(values[r].view(np.int64)), row["block"], doc, key, start, size, content))
+                        held += len(content)
                     if held > BLOCK:
                         yield _batch(out)
                         out, held = [], 0
@@ -136,7 +136,7 @@ def _batch(out: list[tuple]) -> pa.RecordBatch:
 
 def _paths(contents: list[str], sizes: np.ndarray, window: int) -> np.ndarray:
     """Per window of the pieces, the hashes of its steps: its path from the root to the depth of a window."""
-    hashes = [word_hashes(c.split(" ")) for c in contents]
+    hashes = [word_hashes(c) for c in contents]
     flat = np.concatenate(hashes)
     starts = np.cumsum([len(h) for h in hashes]) - [len(h) for h in hashes]
     at = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
