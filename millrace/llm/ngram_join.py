@@ -33,11 +33,17 @@ from .registry import query
 from .shingles import shingle_set, word_hashes
 
 SHINGLE, PERCENT = 4, 85
-GROUPS, LEAF, CHUNK = 64, 32, 1024
+GROUPS, LEAF, CHUNK = 256, 32, 1024
+#: Hubs that a node is verified against, and rows of one hub's blocks that a task compares.
+HUBS, ROUTE = 4, 100_000
+#: Sets up to which a list of them is broadcast to the texts.
+FEW = 100_000
 #: Most frequent prefix shingles that the order puts last; bounds a broadcast, not the result.
 FREQUENT, FREQUENT_OF_TASK = 100_000, 50_000
 
 _U64 = np.uint64
+#: Counts from here on are stored as this, and bound nothing.
+MOST = 65535
 
 
 def _set(text: str, n: int) -> np.ndarray:
@@ -49,7 +55,8 @@ def _prefix_size(n: int, percent: int) -> int:
 
 
 def point_of(shingles: np.ndarray) -> np.ndarray:
-    return np.bincount((shingles >> _U64(40)) % _U64(GROUPS), minlength=GROUPS).astype("<u4")
+    counts = np.bincount((shingles >> _U64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
+    return np.minimum(counts, MOST).astype("<u2")
 
 
 def _bottom(values: np.ndarray, k: int) -> np.ndarray:
@@ -170,17 +177,42 @@ class RTree:
     def survivors(self, other: RTree, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Numbers of point pairs whose bound reaches the overlap that they need."""
         for mine, most, low, high in zip(self.leaves, self.most, self.least_size, self.most_size):
-            bound = np.minimum(most, other.most).sum(axis=1)
+            bound = np.minimum(most, other.most).sum(axis=1, dtype=np.int64)
             need = -(-percent * (low + other.least_size) // (100 + percent))
             fits = (100 * other.most_size >= percent * low) & (100 * high >= percent * other.least_size)
             for n in np.flatnonzero((bound >= need) & fits):
                 theirs = other.leaves[n]
-                bounds = np.minimum(self.points[mine][:, None], other.points[theirs][None]).sum(axis=2)
+                bounds = np.minimum(self.points[mine][:, None], other.points[theirs][None]).sum(axis=2, dtype=np.int64)
                 a, b = np.nonzero(bounds >= _needed(self.sizes[mine], other.sizes[theirs], percent))
                 if len(a):
                     yield mine[a], theirs[b]
 
 
+def _fitting(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    """Rows of ``pairs`` (first columns u, v) whose bound reaches the overlap that they need."""
+    sides = [points.select(F.col("node").alias(c), F.col("size").alias(f"{c}_size"), F.col("point").alias(f"{c}_point")) for c in "uv"]
+    # Sizes alone settle many pairs before the points travel.
+    sized = pairs.join(sides[0], "u").join(points.select(F.col("node").alias("v"), F.col("size").alias("v_size")), "v")
+    sized = sized.where((100 * F.col("u_size") >= percent * F.col("v_size")) & (100 * F.col("v_size") >= percent * F.col("u_size")))
+    met = sized.drop("v_size").join(sides[1], "v").select(*pairs.columns, "u_size", "v_size", "u_point", "v_point")
+    width = len(pairs.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows(batches):
+            sizes = [batch.column(width + i).to_numpy() for i in (0, 1)]
+            points = [_matrix(batch.column(width + i).to_pylist()) for i in (2, 3)]
+            keep = np.minimum(*points).sum(axis=1, dtype=np.int64) >= -(-percent * (sizes[0] + sizes[1]) // (100 + percent))
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:width]], names=batch.schema.names[:width])
+
+    return met.mapInArrow(run, pairs.schema)
+
+
+def _matrix(points: list[bytes]) -> np.ndarray:
+    out = np.frombuffer(b"".join(points), "<u2").reshape(-1, GROUPS).astype(np.int32)
+    out[out == MOST] = 1 << 30  # as large as may be
+    return out
+
+
 def _hub_links(with_hubs: DataFrame, percent: int) -> DataFrame:
     """Verified links of nodes with their hub, from rows ``hub, node, own`` sorted with the hub's own row first."""
 
@@ -199,58 +231,102 @@ def _hub_links(with_hubs: DataFrame, percent: int) -> DataFrame:
     return with_hubs.mapInArrow(run, "u long, v long")
 
 
+class _Blocks:
+    """Rows of whole blocks: sides, nodes, components, sizes, places of the block in the order, and points."""
+
+    def __init__(self, columns: list[np.ndarray], points: np.ndarray):
+        self.block, self.sides, self.node, self.root, self.size, self.place = columns
+        self.points = points
+
+    def pairs(self, percent: int) -> np.ndarray:
+        """Surviving pairs of different components, each once, as rows u < v."""
+        edges = np.flatnonzero(np.concatenate([[True], self.block[1:] != self.block[:-1], [True]]))
+        small, found = [], []
+        for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            own = [np.flatnonzero(self.sides[start:stop] & side) + start for side in (1, 2)]
+            if stop - start <= LEAF:
+                small.append([np.repeat(own[0], len(own[1])), np.tile(own[1], len(own[0]))])
+            elif len(own[0]) and len(own[1]):
+                trees = [RTree(self.points[i], self.size[i]) for i in own]
+                found += [np.array([own[0][a], own[1][b]]) for a, b in trees[0].survivors(trees[1], percent)]
+        if small:  # a leaf against itself; the same two sets often meet in many blocks
+            found.append(self._bounded(np.concatenate(small, axis=1), percent))
+        if not found:
+            return np.zeros((0, 2), np.int64)
+        return self._distinct(np.concatenate(found, axis=1), percent)[0]
+
+    def _distinct(self, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        # What precedes the first shingle that two sets share is not shared: a later block than that
+        # need not bring them together.
+        need = -(-percent * (self.size[at[0]] + self.size[at[1]]) // (100 + percent))
+        early = (self.place[at] <= self.size[at] - need).all(axis=0)
+        at = at[:, early & (self.root[at[0]] != self.root[at[1]])]
+        ends = np.sort(self.node[at], axis=0)
+        order = np.lexsort(ends)
+        ends, at = ends[:, order], at[:, order]
+        new = np.ones(ends.shape[1], bool)
+        new[1:] = (ends[:, 1:] != ends[:, :-1]).any(axis=0)
+        return ends[:, new].T, at[:, new]
+
+    def _bounded(self, at: np.ndarray, percent: int) -> np.ndarray:
+        at = self._distinct(at, percent)[1]
+        need = -(-percent * (self.size[at[0]] + self.size[at[1]]) // (100 + percent))
+        keep = [np.minimum(self.points[at[0, i : i + 4096]], self.points[at[1, i : i + 4096]]).sum(axis=1, dtype=np.int64) for i in range(0, at.shape[1], 4096)]
+        return at[:, np.concatenate(keep) >= need] if keep else at
+
+
 def _block_pairs(chunks: DataFrame, percent: int) -> DataFrame:
     """Pairs ``u < v`` of different components that survive the bound, from rows sorted by ``block``."""
 
-    def pairs(block: list[tuple]) -> Iterator[tuple[int, int]]:
-        sides = [[r for r in block if r[1] & side] for side in (1, 2)]
-        if not sides[0] or not sides[1]:
-            return
-        trees = []
-        for side in sides:
-            points = np.frombuffer(b"".join(r[5] for r in side), "<u4").reshape(-1, GROUPS).astype(np.int32)
-            trees.append(RTree(points, np.array([r[4] for r in side], np.int64)))
-        nodes = [np.array([r[2] for r in side]) for side in sides]
-        roots = [np.array([r[3] for r in side]) for side in sides]
-        for a, b in trees[0].survivors(trees[1], percent):
-            fresh = roots[0][a] != roots[1][b]
-            yield from zip(nodes[0][a[fresh]].tolist(), nodes[1][b[fresh]].tolist())
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: list[tuple] = []
+        held: list[pa.RecordBatch] = []
+        found: list[np.ndarray] = []
         for batch in rows(batches):
-            found: set[tuple[int, int]] = set()
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if block and block[0][0] != row[0]:
-                    found.update((min(p), max(p)) for p in pairs(block))
-                    block = []
-                block.append(row)
-            yield _edges(found)
-        yield _edges({(min(p), max(p)) for p in pairs(block)})
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= 20 * CHUNK:
+                table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                blocks = table.column(0).to_numpy()
+                done = int(np.searchsorted(blocks, blocks[-1]))  # the last block may go on
+                if done:
+                    found.append(paired(table.slice(0, done)))
+                held = [table.slice(done)]
+                if sum(map(len, found)) > 500_000:
+                    yield once(found)
+                    found = []
+        if held:
+            found.append(paired(pa.Table.from_batches(held).combine_chunks().to_batches()[0]))
+        if found:
+            yield once(found)
+
+    def paired(batch: pa.RecordBatch) -> np.ndarray:
+        own = _Blocks([c.to_numpy() for c in batch.columns[:6]], _matrix(batch.column(6).to_pylist()))
+        return own.pairs(percent)
+
+    def once(found: list[np.ndarray]) -> pa.RecordBatch:
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
 
     return chunks.mapInArrow(run, "u long, v long").distinct()
 
 
-def _edges(found: set[tuple[int, int]]) -> pa.RecordBatch:
-    both = list(zip(*found)) or [(), ()]
-    return pa.record_batch([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], ["u", "v"])
-
-
-def _own_sets(docs: DataFrame, keys: DataFrame, n: int, text: str, key: str) -> DataFrame:
-    """``node`` and its sorted set ``own`` (binary), from the text of one document each; other columns of ``keys`` stay."""
-    extra = [f for f in keys.schema.fields if f.name not in ("key", "node")]
-    given = docs.select(F.col(key).alias("key"), whole_text(text).alias("text")).join(keys, "key")
-    given = given.select("node", *(f.name for f in extra), "text")
+def _own_sets(docs: DataFrame, wanted: DataFrame, n: int, text: str, key: str) -> DataFrame:
+    """``node`` and its sorted set ``own`` (binary), from the text of one document each; other columns of ``wanted`` stay."""
+    extra = [f for f in wanted.schema.fields if f.name not in ("key", "node")]
+    given = docs.select(F.col(key).alias("key"), whole_text(text).alias("text"))
+    # Few wanted sets spare the texts the shuffle; many meet them in a sort-merge join.
+    few = wanted.limit(FEW + 1).count() <= FEW
+    given = given.join(F.broadcast(wanted) if few else wanted, "key").select("node", *(f.name for f in extra), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows(batches):
             made = [_set(t, n) for t in batch.column(batch.num_columns - 1).to_pylist()]
+            # Another text under the same key is not the one meant.
             keep = pa.array([i for i, own in enumerate(made) if node_of(own) == batch.column(0)[i].as_py()], pa.int64())
             sets = pa.array([own.astype("<u8").tobytes() for own in made], pa.binary())
             yield pa.RecordBatch.from_arrays([c.take(keep) for c in (*batch.columns[:-1], sets)], names=[*batch.schema.names[:-1], "own"])
 
     schema = ", ".join(["node long", *(f"{f.name} {f.dataType.simpleString()}" for f in extra), "own binary"])
-    return given.mapInArrow(run, schema).dropDuplicates(["node"])
+    return given.mapInArrow(run, schema)
 
 
 def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -261,48 +337,65 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = S
     """
     docs = docs.select(F.col(key), F.col(text))
     sets = saved(_sets(docs, frequent(docs, n, percent, text), n, percent, text, key), "sets")
-    return linked_classes(docs, sets, n, percent, text, key)
+    return linked_classes(docs, sets, n, percent, text, key, ordered=True)
+
 
+def linked_classes(docs: DataFrame, sets: DataFrame, n: int, percent: int, text: str, key: str, ordered: bool = False) -> DataFrame:
+    """The classes of `classes`, given ``key, node, size, point`` and the ``blocks`` in which a set meets others.
 
-def linked_classes(docs: DataFrame, sets: DataFrame, n: int, percent: int, text: str, key: str) -> DataFrame:
-    """The classes of `classes`, given ``key, node, size, point`` and the ``blocks`` in which a set meets others."""
+    ``ordered`` blocks are the first shingles of each set in one order of all shingles.
+    """
     filled = sets.where("size > 0")
 
-    # Blocks of two different sets and more, with two of their sets as hubs.
+    # Blocks of two different sets and more.
     by_token = Window.partitionBy("token")
-    met = filled.select("node", F.explode("blocks").alias("token")).withColumns({"low": F.min("node").over(by_token), "high": F.max("node").over(by_token)})
-    met = saved(met.where("low < high").distinct(), "met")
-    hubs = met.select("node", F.explode(F.array("low", "high")).alias("hub")).where("node <> hub").groupBy("node", "hub").count()
-    hubs = hubs.groupBy("node").agg(F.max_by("hub", F.struct("count", "hub")).alias("hub"))
+    met = filled.select("node", F.posexplode("blocks").alias("place", "token")).withColumns({"low": F.min("node").over(by_token), "high": F.max("node").over(by_token)})
+    met = saved(met.where("low < high").select("token", "node", F.col("place") if ordered else F.lit(0).alias("place")).distinct(), "met")
     named = filled.groupBy("node").agg(F.min("key").alias("key"), F.min("size").alias("size"), F.min("point").alias("point"))
-    named = saved(named.join(hubs, "node"), "named")
-
-    own = saved(_own_sets(docs, named.select("key", "node", "hub"), n, text, key), "own")
-    hub_nodes = own.select(F.col("hub").alias("node")).distinct()
-    as_hub = own.join(hub_nodes, "node", "left_semi").select(F.col("node").alias("hub"), "node", "own")
+    named = saved(named.join(met.select("node").distinct(), "node", "left_semi"), "named")
+
+    # Each block names hubs, the node in most blocks and random ones in many; each node takes those that the
+    # bound admits and that it has most blocks in common with.
+    degree = met.groupBy("node").agg(F.count("*").alias("n"))
+    order = [F.struct("n", "node"), *(F.struct(F.floor(F.log2("n")), F.xxhash64("node", F.lit(r)), F.col("node").alias("node")) for r in range(1, HUBS))]
+    tops = saved(met.join(degree, "node").groupBy("token").agg(*(F.max(o)["node"].alias(f"hub{r}") for r, o in enumerate(order))), "tops")
+    named_hubs = F.posexplode(F.array(*(f"hub{r}" for r in range(HUBS)))).alias("round", "v")
+    hubs = met.join(tops, "token").select(F.col("node").alias("u"), named_hubs).where("u <> v").groupBy("u", "v", "round").agg(F.count("*").alias("n"))
+    hubs = _fitting(hubs, named, percent).groupBy("u", "round").agg(F.max_by("v", F.struct("n", "v")).alias("v")).select("u", "v").distinct()
+    hubs = saved(hubs, "hubs")
     # A hub with very many nodes is spread over salts, and its own set goes to each of them.
-    load = own.groupBy(F.col("hub").alias("at")).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("salts"))
-    spread = own.join(load, own["hub"] == load["at"]).select("hub", "node", "own", F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt"))
-    everywhere = as_hub.join(load, as_hub["hub"] == load["at"]).select("hub", "node", "own", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    both = spread.unionByName(everywhere).repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.col("node") != F.col("hub"))
+    load = hubs.groupBy("v").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("salts"))
+    spread = hubs.join(load, "v").select(F.col("u").alias("node"), F.struct(F.col("v").alias("hub"), F.pmod(F.xxhash64("u"), "salts").cast("int").alias("salt")).alias("to"))
+    self = load.select(F.col("v").alias("node"), F.explode(F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda x: F.struct(F.col("v").alias("hub"), x.alias("salt")))).alias("to"))
+    wanted = spread.unionByName(self).groupBy("node").agg(F.collect_set("to").alias("to")).join(named.select("node", "key"), "node")
+    own = saved(_own_sets(docs, saved(wanted, "wanted"), n, text, key), "own")
+    both = own.select("node", F.explode("to").alias("to"), "own").select("to.hub", "to.salt", "node", "own")
+    both = both.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.col("node") != F.col("hub"))
     links = saved(_hub_links(both.select("hub", "node", "own"), percent), "links")
     roots = components(links)
 
     # Blocks in which more than one component is left, in chunks that one task holds.
-    left = met.select("token", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed_blocks = left.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.ceil(F.count("*") / CHUNK).cast("int").alias("parts")).where("a < b")
-    left = left.join(mixed_blocks.select("token", "parts"), "token").join(named.select("node", "size", "point"), "node")
+    left = met.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed_blocks = left.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("n")).where("a < b")
+    mixed_blocks = mixed_blocks.join(tops, "token").select("token", "n", F.ceil(F.col("n") / CHUNK).cast("int").alias("parts"), F.col("hub0").alias("hub"))
+    # Blocks whose hubs are in one component hold much the same nodes: one task compares them and tells each
+    # pair once.
+    mixed_blocks = mixed_blocks.join(roots.withColumnRenamed("node", "hub"), "hub", "left").withColumn("hub", F.coalesce("root", "hub")).drop("root")
+    routes = mixed_blocks.groupBy("hub").agg(F.ceil(F.sum(F.col("n") * F.col("parts")) / ROUTE).alias("routes"))
+    mixed_blocks = mixed_blocks.join(routes, "hub")
+    left = left.join(mixed_blocks, "token").join(named.select("node", "size", "point"), "node")
     left = left.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
     left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    chunks = left.select(
-        F.struct("token", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")).alias("block"),
-        F.when(F.col("part") == F.col("other"), 3).when(F.col("part") < F.col("other"), 1).otherwise(2).alias("sides"),
-        "node", "root", "size", "point",
-    )
-    # The bounds fit in a hash of the block: blocks of one hash would only be compared needlessly.
-    chunks = chunks.withColumn("block", F.xxhash64("block")).repartition("block").sortWithinPartitions("block")
-    pairs = saved(_block_pairs(chunks, percent), "pairs")
-    more = saved(_verified(pairs, own.select("node", "own"), percent), "links")
+    # Blocks of one hash would only be compared needlessly.
+    left = left.withColumn("block", F.xxhash64("token", F.least("part", "other"), F.greatest("part", "other")))
+    side = F.when(F.col("part") == F.col("other"), 3).when(F.col("part") < F.col("other"), 1).otherwise(2)
+    chunks = left.withColumn("sides", side).repartition("hub", F.pmod("block", "routes")).sortWithinPartitions("block")
+    chunks = chunks.select("block", "sides", "node", "root", "size", F.col("place").cast("long").alias("place"), "point")
+    done = hubs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    pairs = saved(_block_pairs(chunks, percent).join(done, ["u", "v"], "left_anti"), "pairs")
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(named.select("node", "key"), "node")
+    own = saved(_own_sets(docs, saved(ends, "wanted"), n, text, key), "own")
+    more = saved(_verified(pairs, own, percent), "links")
     final = components(links.unionByName(more))
 
     found = sets.select("key", "size", "node").join(final, "node", "left").withColumn("class", F.coalesce("root", "node"))
