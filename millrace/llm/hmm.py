@@ -297,10 +297,9 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", rounds: int
     for _ in range(rounds):
         model = _estimated(_round(whole, None, model), shares)
 
-    # Blocks meet the counts of their words; a block row comes before its word rows.
-    parts = whole.select("block", "keys", "held", "sizes", "ids", "classes", F.lit(-1).alias("number"), F.lit(0).cast("long").alias("c"))
-    words_of = counted.select("block", *(F.lit(None).cast(parts.schema[c].dataType).alias(c) for c in ("keys", "held", "sizes", "ids", "classes")), "number", "c")
-    met = parts.unionByName(words_of).repartition("block").sortWithinPartitions("block", "number")
+    # Blocks meet the counts of their words; a block has no more of them than words.
+    own = counted.groupBy("block").agg(F.collect_list(F.struct("number", "c")).alias("counts"))
+    met = whole.join(own, "block", "left").select("keys", "held", "sizes", "ids", "classes", "counts")
     shared = spark.sparkContext.broadcast((model, class_n, class_v, total, distinct, ends))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,23 +322,14 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", rounds: int
             columns = [keys, pa.array(row["held"], pa.bool_()), sizes, known, np.full(len(texts), total, np.int64), base_score, path / np.log(10) + of_words]
             return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
 
-        row = keys = c = None
         for batch in batches:
-            numbers, counts = batch.column(6).to_numpy(), batch.column(7).to_numpy()
-            cuts = np.flatnonzero(numbers < 0).tolist()
-            start = 0
-            for cut in [*cuts, len(numbers)]:
-                if cut > start:
-                    c[numbers[start:cut]] = counts[start:cut]
-                if cut < len(numbers):
-                    if row is not None:
-                        yield scored(row, keys, c)
-                    row = batch.slice(cut, 1).select(["held", "sizes", "ids", "classes"]).to_pylist()[0]
-                    keys = pa.concat_arrays([batch.column(1).slice(cut, 1).flatten()])
-                    c = np.zeros(len(row["classes"]) // 2, np.int64)
-                start = cut + 1
-        if row is not None:
-            yield scored(row, keys, c)
+            for n in range(batch.num_rows):
+                row = batch.slice(n, 1)
+                counts = row.column(5).flatten()
+                given = row.select(["held", "sizes", "ids", "classes"]).to_pylist()[0]
+                c = np.zeros(len(given["classes"]) // 2, np.int64)
+                c[counts.field(0).to_numpy()] = counts.field(1).to_numpy()
+                yield scored(given, row.column(0).flatten(), c)
 
     kinds = {"held_out": BooleanType(), "n_tokens": LongType(), "n_known": LongType(), "train_tokens": LongType(), "base_score": DoubleType(), "score": DoubleType()}
     schema = StructType([StructField(key, docs.schema[key].dataType), *(StructField(n, t) for n, t in kinds.items())])
