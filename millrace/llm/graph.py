@@ -21,7 +21,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     least = sides.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
     met = sides.join(least, "u")
     if large:
-        return met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        return met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     own = least.select("u", F.col("m").alias("v"))
     return met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(own).distinct()
 
