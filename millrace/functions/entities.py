@@ -15,13 +15,18 @@ from .fixed import ENTITY_PATTERNS
 MARK = "\u0001"
 SENTENCE_BREAK = r"[.!?]\s+"
 ANY_ENTITY = "|".join(f"(?:{p})" for p in ENTITY_PATTERNS.values())
+# An e-mail address can only start where its run of letters does, or where the match before ended. Saying so
+# finds the same addresses without trying every letter of a long run.
+_RUN_START = r"(?:(?<![A-Za-z0-9._%+-])|\G)"
+PATTERNS = {k: (_RUN_START if k == "EMAIL" else "") + p for k, p in ENTITY_PATTERNS.items()}
+_ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # Every entity holds one of these. The test is cheap and spares most texts and
 # sentences the full patterns.
 ENTITY_HINT = r"@|\+1|[0-9][0-9./-]"
 BLANKS = " \t\n\u000b\f\r"
 
 CHUNK_TYPE = "array<struct<begin:int,end:int,result:string,metadata:map<string,string>>>"
-_WALK_TYPE = "array<struct<begin:int,end:int,result:string,sentence:int>>"
+_BLOCK = 256
 
 
 def _unmarked(text: Column) -> Column:
@@ -60,7 +65,7 @@ def tags(sentence: Column, token_array: Column) -> Column:
         plain = ~token.rlike("[0-9@]")
         chosen = F.when(plain, "O")
         for label in ("EMAIL", "IP", "CARD", "DATE"):
-            chosen = chosen.when(token.rlike(ENTITY_PATTERNS[label]), f"B-{label}")
+            chosen = chosen.when(token.rlike(PATTERNS[label]), f"B-{label}")
         chosen = chosen.when(is_phone_from(i), "B-PHONE")
         chosen = chosen.when(is_phone_from(i - 1) | is_phone_from(i - 2), "I-PHONE")
         return chosen.otherwise("O")
@@ -70,6 +75,44 @@ def tags(sentence: Column, token_array: Column) -> Column:
     )
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running_sums(numbers: Column) -> Column:
+    """For each element of an array of ints, the sum of those before it.
+
+    Arrays cannot be extended in place, so sums are taken in blocks: within a
+    block, and over the sums of the blocks.
+    """
+
+    def exclusive(items_: Column, start: Column) -> Column:
+        first = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(
+            items_,
+            first,
+            lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+            lambda acc: acc["out"],
+        )
+
+    def in_blocks(numbers: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(numbers) / _BLOCK).cast("int") - 1, F.lit(0))
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(numbers, b * _BLOCK + 1, F.lit(_BLOCK)))
+        return _let(
+            blocks,
+            lambda own: F.flatten(
+                F.zip_with(
+                    own,
+                    exclusive(F.transform(own, lambda x: F.aggregate(x, F.lit(0), lambda a, n: a + n)), F.lit(0)),
+                    exclusive,
+                )
+            ),
+        )
+
+    return _let(numbers, in_blocks)
+
+
 def label_of(chunk: Column) -> Column:
     """Label of a text that matches one of the entity patterns as a whole."""
     chosen = None
@@ -81,7 +124,7 @@ def label_of(chunk: Column) -> Column:
 
 def _parts(text: Column) -> Column:
     """Text cut at its entities: plain parts at even, entities at odd places."""
-    marked = F.regexp_replace(_unmarked(text), f"({ANY_ENTITY})", f"{MARK}$1{MARK}")
+    marked = F.regexp_replace(_unmarked(text), f"({_ANY})", f"{MARK}$1{MARK}")
     return F.split(marked, MARK, -1)
 
 
@@ -89,49 +132,31 @@ def chunks(text: Column) -> Column:
     """Entities of a text: ``begin`` and inclusive ``end`` character offsets,
     ``result``, and ``metadata`` with the label and the sentence number."""
 
-    def step(walk: Column, part: Column) -> Column:
-        size = F.length(part)
-        item = F.struct(
-            walk["at"].alias("begin"),
-            (walk["at"] + size - 1).alias("end"),
-            part.alias("result"),
-            walk["sentence"].alias("sentence"),
-        )
-        return F.struct(
-            (walk["at"] + size).alias("at"),
-            (walk["sentence"] + F.regexp_count(part, F.lit(SENTENCE_BREAK))).alias("sentence"),
-            (~walk["inside"]).alias("inside"),
-            F.when(walk["inside"], F.concat(walk["found"], F.array(item)))
-            .otherwise(walk["found"])
-            .alias("found"),
+    def labelled_of(parts: Column) -> Column:
+        begins = running_sums(F.transform(parts, F.length))
+        breaks = running_sums(F.transform(parts, lambda p: F.regexp_count(p, F.lit(SENTENCE_BREAK))))
+        placed = F.arrays_zip(parts.alias("part"), begins.alias("begin"), breaks.alias("sentence"))
+        return F.transform(
+            F.filter(placed, lambda _, i: i % 2 == 1),
+            lambda c: F.struct(
+                c["begin"].alias("begin"),
+                (c["begin"] + F.length(c["part"]) - 1).alias("end"),
+                c["part"].alias("result"),
+                F.create_map(
+                    F.lit("entity"), label_of(c["part"]),
+                    F.lit("sentence"), c["sentence"].cast("string"),
+                ).alias("metadata"),
+            ),
         )
 
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.lit(0).alias("sentence"),
-        F.lit(False).alias("inside"),
-        F.array().cast(_WALK_TYPE).alias("found"),
-    )
-    walked = F.aggregate(_parts(text), start, step, lambda walk: walk["found"])
-    labelled = F.transform(
-        walked,
-        lambda c: F.struct(
-            c["begin"].alias("begin"),
-            c["end"].alias("end"),
-            c["result"].alias("result"),
-            F.create_map(
-                F.lit("entity"), label_of(c["result"]),
-                F.lit("sentence"), c["sentence"].cast("string"),
-            ).alias("metadata"),
-        ),
-    )
+    labelled = _let(_parts(text), labelled_of)
     return F.when(text.rlike(ENTITY_HINT), labelled).otherwise(F.array().cast(CHUNK_TYPE))
 
 
 def masked(text: Column) -> Column:
     """Text with each entity replaced by its label in angle brackets."""
     out = text
-    for label, pattern in ENTITY_PATTERNS.items():
+    for label, pattern in PATTERNS.items():
         out = F.regexp_replace(out, pattern, f"<{label}>")
     return F.when(text.rlike(ENTITY_HINT), out).otherwise(text)
 

@@ -1,4 +1,4 @@
-"""Joins and set steps. What is broadcast has a bound that is known or checked."""
+"""Joins and set steps. No side carries a broadcast hint: the planner goes by its size."""
 
 from __future__ import annotations
 
@@ -26,8 +26,8 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 def kept_in(df: DataFrame, top: DataFrame, on: str) -> DataFrame:
-    """Rows whose key is in a short list of at most a few rows."""
-    return df.join(F.broadcast(top.select(on)), on, "left_semi")
+    """Rows whose key is in a list; a short one is broadcast by its size."""
+    return df.join(top.select(on), on, "left_semi")
 
 
 def word_list(spark: SparkSession, *lists: Sequence[str], name: str = "word") -> DataFrame:
@@ -41,5 +41,5 @@ def word_list(spark: SparkSession, *lists: Sequence[str], name: str = "word") ->
 
 
 def without_words(df: DataFrame, stop: DataFrame, on: str = "word") -> DataFrame:
-    """Rows whose word is not in a fixed stop list of a few hundred words."""
-    return df.join(F.broadcast(stop), on, "left_anti")
+    """Rows whose word is not in a stop list; a short one is broadcast by its size."""
+    return df.join(stop, on, "left_anti")

@@ -1,20 +1,11 @@
-"""Exact grouped quantiles that hold for groups of any size.
-
-The built-in ``percentile`` keeps the distinct values of a group in the memory
-of one task. That is fine for groups up to ``SMALL_GROUP`` rows and is used for
-them. A group with more rows is *hot* and is narrowed first:
-
-1. a histogram on a fixed logarithmic grid (partial sums, a few thousand rows
-   per group) tells the grid cell of each quantile;
-2. values outside the wanted cells are moved to the nearest cell border. The
-   move never changes the order of two values and leaves the wanted cells as
-   they are, so the quantiles stay exact, while partial counts per distinct
-   value shrink the group to its wanted cells before the last shuffle;
-3. the values left are sorted, with spilling, and read off by running count.
-
-At most ``MAX_HOT`` groups, the largest ones, are handled as hot, which bounds
-what is broadcast; any other group then holds less than one ``MAX_HOT``-th of
-all rows. Nothing is sampled or dropped.
+"""Exact grouped quantiles for groups of any size.
+
+Equal values of a group are counted first (partial counts, one row per distinct
+value). The counts are range-partitioned by group and value, so a group with
+many values lies over many partitions in order; the sums of the partitions
+before give each value its running count, and the quantile's two neighbours
+are read off by rank. There is one path for all groups, no task holds a whole
+group, and nothing runs until the result is asked for.
 """
 
 from __future__ import annotations
@@ -23,19 +14,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import settled
 from .joins import null_safe_join
 
-SMALL_GROUP = 100_000
-MAX_HOT = 100_000
-CELLS_PER_OCTAVE = 1024
-
-
-def _cell(value: Column) -> Column:
-    """Number of a value's grid cell; a larger value never has a smaller one."""
-    size = F.floor(F.least(F.log2(F.abs(value)), F.lit(2000.0)) * CELLS_PER_OCTAVE) + 2000 * CELLS_PER_OCTAVE
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0)).cast("bigint")
-
 
 def _ranks(p: float, total: Column) -> tuple[Column, Column, Column]:
     """1-based ranks of the two neighbours of quantile ``p``, and its position."""
@@ -43,64 +23,33 @@ def _ranks(p: float, total: Column) -> tuple[Column, Column, Column]:
     return F.floor(at) + 1, F.ceil(at) + 1, at
 
 
-def _running(keys: Sequence[str], order: str):
-    whole = Window.partitionBy(*keys)
-    return whole, whole.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
-def _borders(hot_rows: DataFrame, keys: Sequence[str], points: Sequence[float]) -> DataFrame:
-    """Per hot group, the lowest and highest value of each wanted cell."""
-    cells = hot_rows.groupBy(*keys, _cell(F.col("_v")).alias("_cell")).agg(
-        F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
-    )
-    whole, running = _running(keys, "_cell")
-    cells = cells.withColumns(
-        {"_total": F.sum("_n").over(whole), "_upto": F.sum("_n").over(running)}
-    )
-    before = F.col("_upto") - F.col("_n")
-    borders = []
-    for i, p in enumerate(points):
-        first, second, _ = _ranks(p, F.col("_total"))
-        wanted = (F.col("_upto") >= first) & (before < second)
-        borders.append(F.min(F.when(wanted, F.col("_low"))).alias(f"_low{i}"))
-        borders.append(F.max(F.when(wanted, F.col("_high"))).alias(f"_high{i}"))
-    return cells.groupBy(*keys).agg(*borders)
-
-
-def _moved(value: Column, points: Sequence[float]) -> Column:
-    """Value moved to the nearest border unless it lies in a wanted cell."""
-    out = F.when(F.col("_low0").isNull(), value)
-    for i, _ in enumerate(points):
-        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
-        out = out.when(value < low, low if i == 0 else F.col(f"_high{i - 1}")).when(value <= high, value)
-    return out.otherwise(F.col(f"_high{len(points) - 1}"))
-
-
-def _hot_keys(rows: DataFrame, keys: Sequence[str], value: str, small_group: int, max_hot: int) -> DataFrame | None:
-    """Keys of the groups too large for one task, or None if there are none."""
-    hot = settled(
-        rows.where(F.col(value).isNotNull())
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > small_group)
-        .orderBy(F.desc("_n"), *keys)
-        .limit(max_hot)
-        .select(*keys)
+def _running_counts(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Distinct values with their count, the running count and the group's total."""
+    values = rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    counted = values.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+    # Kept because both uses below must see the same partitions; range borders are sampled anew otherwise.
+    ranged = counted.repartitionByRange(*keys, "_v").withColumn("_part", F.spark_partition_id()).persist()
+    by_group = Window.partitionBy(*keys)
+    earlier = by_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy(*keys, "_part").agg(F.sum("_n").alias("_size"))
+    parts = parts.select(
+        *keys,
+        "_part",
+        F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_size").over(by_group).alias("_total"),
     )
-    return None if hot.isEmpty() else hot
+    met = null_safe_join(ranged, parts, [*keys, "_part"], "inner")
+    within = Window.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return met.withColumn("_upto", F.col("_before") + F.sum("_n").over(within))
 
 
-def _values(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    return rows.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-
+def exact_quantiles(rows: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float]) -> DataFrame:
+    """One row per group with the interpolated quantiles named in ``points``.
 
-def _by_running_count(data: DataFrame, keys: Sequence[str], points: Mapping[str, float]) -> DataFrame:
-    whole, running = _running(keys, "_v")
-    ranked = (
-        data.groupBy(*keys, "_v")
-        .agg(F.count("*").alias("_n"))
-        .withColumns({"_total": F.sum("_n").over(whole), "_upto": F.sum("_n").over(running)})
-    )
+    NULL values do not count; a group without values has no row. The result is
+    that of ``percentile(value, p)``, up to the last digit.
+    """
+    keys = list(keys)
     picks, results = [], []
     for i, (name, p) in enumerate(points.items()):
         first, second, at = _ranks(p, F.col("_total"))
@@ -109,58 +58,14 @@ def _by_running_count(data: DataFrame, keys: Sequence[str], points: Mapping[str,
         low, high = F.col(f"_first{i}"), F.col(f"_second{i}")
         between = (second - 1 - at) * low + (at - (first - 1)) * high
         results.append(F.when(low == high, low).otherwise(between).alias(name))
-    picked = ranked.groupBy(*keys).agg(F.max("_total").alias("_total"), *picks)
+    picked = _running_counts(rows, keys, value).groupBy(*keys).agg(F.max("_total").alias("_total"), *picks)
     return picked.select(*keys, *results)
 
 
-def exact_quantiles(
-    rows: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    points: Mapping[str, float],
-    *,
-    small_group: int = SMALL_GROUP,
-    max_hot: int = MAX_HOT,
-) -> DataFrame:
-    """One row per group with the interpolated quantiles named in ``points``.
-
-    NULL values do not count; a group without values has no row. The result is
-    that of ``percentile(value, p)``, up to the last digit.
-    """
-    keys, points = list(keys), dict(sorted(points.items(), key=lambda item: item[1]))
-    data, ps = _values(rows, keys, value), list(points.values())
-    hot = _hot_keys(rows, keys, value, small_group, max_hot)
-    if hot is None:
-        found = data.groupBy(*keys).agg(F.percentile("_v", ps).alias("_found"))
-        return found.select(*keys, *(F.col("_found")[i].alias(n) for i, n in enumerate(points)))
-    borders = _borders(null_safe_join(data, F.broadcast(hot), keys, "inner"), keys, ps)
-    moved = null_safe_join(data, F.broadcast(borders), keys, "left").withColumn("_v", _moved(F.col("_v"), ps))
-    return _by_running_count(moved, keys, points)
-
-
-def with_exact_quantiles(
-    rows: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    points: Mapping[str, float],
-    *,
-    small_group: int = SMALL_GROUP,
-    max_hot: int = MAX_HOT,
-) -> DataFrame:
-    """All rows, each with the quantiles of its group.
+def with_exact_quantiles(rows: DataFrame, keys: Sequence[str], value: str, points: Mapping[str, float]) -> DataFrame:
+    """All rows, each with the quantiles of its group (NULL for a group without values).
 
-    Rows of hot groups get them from a broadcast of at most ``max_hot`` rows
-    and are not shuffled; all other rows go through one window.
+    The join carries no hint: few groups are broadcast by their size, and AQE
+    splits the partitions of large groups otherwise.
     """
-    keys, points = list(keys), dict(sorted(points.items(), key=lambda item: item[1]))
-    hot = _hot_keys(rows, keys, value, small_group, max_hot)
-    cold_rows = rows if hot is None else null_safe_join(rows, F.broadcast(hot), keys, "left_anti")
-    found = F.percentile(F.col(value).cast("double"), list(points.values())).over(Window.partitionBy(*keys))
-    cold = cold_rows.withColumn("_found", found)
-    cold = cold.select(*rows.columns, *(F.col("_found")[i].alias(n) for i, n in enumerate(points)))
-    if hot is None:
-        return cold
-    hot_rows = null_safe_join(rows, F.broadcast(hot), keys, "inner")
-    # One row per hot group: the broadcast has the same bound as the key list.
-    quantiles = exact_quantiles(hot_rows, keys, value, points, small_group=small_group, max_hot=max_hot)
-    return cold.unionByName(null_safe_join(hot_rows, F.broadcast(settled(quantiles)), keys, "left"))
+    return null_safe_join(rows, exact_quantiles(rows, keys, value, points), list(keys), "left")

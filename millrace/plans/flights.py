@@ -8,19 +8,24 @@ from ..functions.columns import first_part
 from ..functions.fixed import FLIGHT_COLUMNS
 from ..operators.joins import left_lookup
 from ..sources.csv import csv_view
-from ..sources.tables import cluster, replace_table, write_partitioned
-from ..streaming.incremental import copy_new_files, loaded
+from ..sources.tables import cluster, files_needed, replace_table, write_partitioned
+from ..streaming.incremental import copy_new_files, loaded, loaded_table
 
 
-def load_flights(spark: SparkSession, source: str, target: str, checkpoint: str) -> DataFrame:
-    """Load the flight files that are new and return all flights loaded."""
+def load_flights(spark: SparkSession, source: str, target: str, checkpoint: str, table: str | None = None) -> DataFrame:
+    """Load the flight files that are new and return all flights loaded, none before the first file.
+
+    With ``table`` they are the rows of that typed catalog table.
+    """
     copy_new_files(spark, source, target, checkpoint, FLIGHT_COLUMNS)
-    return loaded(spark, target)
+    if table is not None:
+        return loaded_table(spark, table, target, FLIGHT_COLUMNS)
+    return loaded(spark, target, FLIGHT_COLUMNS)
 
 
-def load_dimension(spark: SparkSession, path: str, view: str, table: str, table_path: str | None = None) -> DataFrame:
+def load_dimension(spark: SparkSession, path: str, view: str, table: str, root: str) -> DataFrame:
     """Dimension CSV as text columns, into a table that is replaced."""
-    return replace_table(csv_view(spark, path, view), table, table_path)
+    return replace_table(csv_view(spark, path, view), table, root)
 
 
 def clean_flights(flights: DataFrame, carriers: DataFrame, delimiter: str = ":") -> DataFrame:
@@ -29,19 +34,10 @@ def clean_flights(flights: DataFrame, carriers: DataFrame, delimiter: str = ":")
     A flight without a matching carrier stays, with a NULL airline; a carrier
     id that occurs twice repeats its flights.
     """
-    fl, al = flights.alias("fl"), carriers.alias("al")
-    joined = left_lookup(fl, al, F.col("fl.Reporting_Airline") == F.col("al.ID"))
-    return joined.select(
-        "fl.FlightDate",
-        F.year("fl.FlightDate").alias("Year"),
-        "fl.OriginCityName",
-        "fl.OriginState",
-        "fl.DestCityName",
-        "fl.DestState",
-        "fl.ArrDelayMinutes",
-        "fl.DepDelayMinutes",
-        first_part(F.col("al.Carrier"), delimiter).alias("Airline"),
-    )
+    names = carriers.select(F.col("ID").alias("_id"), first_part(F.col("Carrier"), delimiter).alias("Airline"))
+    joined = left_lookup(flights, names, flights["Reporting_Airline"] == names["_id"])
+    kept = ("OriginCityName", "OriginState", "DestCityName", "DestState", "ArrDelayMinutes", "DepDelayMinutes")
+    return joined.select("FlightDate", F.year("FlightDate").alias("Year"), *kept, "Airline")
 
 
 def publish(clean: DataFrame, path: str) -> str:
@@ -49,6 +45,11 @@ def publish(clean: DataFrame, path: str) -> str:
     return write_partitioned(clean, path, "Year")
 
 
-def optimize(spark: SparkSession, path: str, out: str, files: int) -> str:
-    """Cluster the clean flights of each year on the airline."""
-    return cluster(spark.read.parquet(path), "Airline", out, files, partition_by="Year")
+def publish_table(clean: DataFrame, name: str, root: str) -> DataFrame:
+    """Clean flights as a catalog table partitioned by year, created or replaced."""
+    return replace_table(clean, name, root, partition_by="Year")
+
+
+def optimize(spark: SparkSession, path: str, out: str, files: int | None = None) -> str:
+    """Cluster the clean flights of each year on the airline, in as many files as their bytes need."""
+    return cluster(spark.read.parquet(path), "Airline", out, files or files_needed(spark, path), partition_by="Year")

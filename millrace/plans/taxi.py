@@ -19,9 +19,8 @@ from ..operators.forecast import hourly_series, predict
 from ..operators.joins import kept_in
 from ..operators.quantiles import exact_quantiles, with_exact_quantiles
 from ..operators.ranking import busiest
-from ..session import settled
 from ..sources.csv import csv_with_schema, inferred_schema
-from ..sources.tables import compact_table, create_table, drop_table, overwrite_table
+from ..sources.tables import create_table, drop_table, overwrite_table
 
 FARE_GROUP = ["pickup_month", "pickup_location_id"]
 
@@ -65,16 +64,15 @@ def build_tables(
 ) -> DataFrame:
     """CSV files to the bronze table and on to the compacted silver table.
 
-    The schema comes from one sample file. Silver is written with its labels,
-    and again without the bad trips, from a frame that reads it.
+    The schema comes from one sample file. Silver is written once, with its
+    labels and without the bad trips, into files that the rebalance step sizes.
     """
     raw = csv_with_schema(spark, folder, inferred_schema(spark, sample))
     drop_table(spark, bronze)
     create_table(raw, bronze, f"{root}/{bronze}-{uuid.uuid4().hex}")
     place = f"{root}/{silver}"
-    overwrite_table(with_labels(silver_names(spark.table(bronze))), silver, place)
-    overwrite_table(good_trips(spark.table(silver), years), silver, place)
-    return compact_table(spark, silver, place)
+    trips = good_trips(with_labels(silver_names(spark.table(bronze))), years)
+    return overwrite_table(trips.hint("rebalance"), silver, place)
 
 
 def silver(raw: DataFrame, years: Iterable[int] = (2021, 2022)) -> DataFrame:
@@ -96,9 +94,9 @@ def with_fare_per_mile(trips: DataFrame) -> DataFrame:
     )
 
 
-def with_fare_quartiles(fares: DataFrame, **limits: int) -> DataFrame:
+def with_fare_quartiles(fares: DataFrame) -> DataFrame:
     """Keep every row and add ``q1`` and ``q3`` of its month and location."""
-    return with_exact_quantiles(fares, FARE_GROUP, "fare_per_mile", {"q1": 0.25, "q3": 0.75}, **limits)
+    return with_exact_quantiles(fares, FARE_GROUP, "fare_per_mile", {"q1": 0.25, "q3": 0.75})
 
 
 def within_fence(fares: DataFrame, value: str = "fare_per_mile") -> DataFrame:
@@ -107,16 +105,16 @@ def within_fence(fares: DataFrame, value: str = "fare_per_mile") -> DataFrame:
     return fares.where(F.col(value).between(F.col("q1") - reach, F.col("q3") + reach))
 
 
-def median_fare_per_mile(trips: DataFrame, k: int = 2, **limits: int) -> DataFrame:
+def median_fare_per_mile(trips: DataFrame, k: int = 2) -> DataFrame:
     """Median fare per mile and month of the ``k`` busiest pickup locations,
     without outliers."""
-    top = settled(busiest(trips, "pickup_location_id", k))
+    top = busiest(trips, "pickup_location_id", k)
     fares = with_fare_per_mile(kept_in(trips, top, "pickup_location_id")).select(
         *FARE_GROUP, "pickup_year", "fare_per_mile"
     )
-    usual = within_fence(with_fare_quartiles(fares, **limits)).withColumn("_month", F.month("pickup_month"))
+    usual = within_fence(with_fare_quartiles(fares)).withColumn("_month", F.month("pickup_month"))
     keys = ["pickup_year", "_month", "pickup_location_id"]
-    medians = exact_quantiles(usual, keys, "fare_per_mile", {"median_fare_per_mile": 0.5}, **limits)
+    medians = exact_quantiles(usual, keys, "fare_per_mile", {"median_fare_per_mile": 0.5})
     return medians.orderBy(*keys).select(
         month_label(F.col("pickup_year"), F.col("_month")).alias("pickup_month_year"),
         "pickup_location_id",

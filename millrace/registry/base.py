@@ -36,13 +36,16 @@ def time_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
 
 
-def single(value: Column) -> Column:
-    """A double rounded to single precision, as engines differ in its last bits."""
-    return value.cast("float").cast("double")
+def rounded(value: Column) -> Column:
+    """A double rounded to six places, as engines differ in its last bits.
 
+    The shift keeps values halfway between two results from falling either way.
+    """
+    return F.round(value + 1e-9, 6)
 
-def sql_single(expression: str) -> str:
-    return f"CAST(CAST({expression} AS FLOAT) AS DOUBLE)"
+
+def sql_rounded(expression: str) -> str:
+    return f"round({expression} + 1e-9, 6)"
 
 
 def sql_time(expression: str) -> str:

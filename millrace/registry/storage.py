@@ -6,7 +6,7 @@ source, sink or maintenance job on them, and returns the rows it holds then.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.casts import cast_columns, cast_losses, lost_in_cast
 from ..functions.columns import last_segment, path_id, slug
@@ -15,9 +15,20 @@ from ..plans import flights as plan
 from ..session import fresh_name, fresh_path
 from ..sources import csv, files, tables
 from ..streaming.incremental import copy_new_files, loaded
-from .base import day_text, query, sql_day, table
+from .base import day_text, query, sql_day, sql_time, table, time_text
 
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
+LINE_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+]
+LINES_SQL = f"SELECT {', '.join(LINE_COLUMNS)}, {sql_time('l_shipdate')} AS l_shipdate FROM lineitem"
+ORDERS_SQL = f"SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {sql_time('o_orderdate')} AS o_orderdate, o_orderpriority FROM orders"
+
+
+def whole(df: DataFrame) -> DataFrame:
+    """All columns, points in time as text."""
+    return df.select(*(time_text(F.col(c)).alias(c) if kind.startswith("timestamp") else F.col(c) for c, kind in df.dtypes))
 
 
 # --- flights --------------------------------------------------------------
@@ -94,24 +105,20 @@ def copy_with_casts(spark, folder):
 
 @query(
     "cast_losses",
-    """SELECT count(*) FILTER (l_linenumber = 5) AS FlightDate,
-              count(*) FILTER (l_linenumber = 7) AS DepTime,
-              count(*) FILTER (l_linenumber = 3) AS DepDelay, 0 AS Distance FROM lineitem""",
+    """SELECT 0 AS "Year", count(*) FILTER (l_linenumber = 5) AS FlightDate,
+              count(*) FILTER (l_linenumber = 7) AS DepTime, count(*) FILTER (l_linenumber = 3) AS DepDelay,
+              0 AS DepDelayMinutes, 0 AS ArrTime, 0 AS ArrDelay, 0 AS ArrDelayMinutes, 0 AS Distance,
+              0 AS CarrierDelay, 0 AS WeatherDelay, 0 AS NASDelay, 0 AS SecurityDelay FROM lineitem""",
 )
 def losses(spark, folder):
-    return cast_losses(raw_flights(spark, folder), FLIGHT_COLUMNS).select(
-        "FlightDate", "DepTime", "DepDelay", "Distance"
-    )
+    return cast_losses(raw_flights(spark, folder), FLIGHT_COLUMNS)
 
 
-@query(
-    "incremental_copy",
-    "SELECT l_orderkey, l_linenumber, l_quantity, l_linestatus FROM lineitem",
-)
+@query("incremental_copy", LINES_SQL)
 def incremental_copy(spark, folder):
     """Two drops of files and an idle run in between; every file counts once."""
-    kinds = {"l_orderkey": "bigint", "l_linenumber": "int", "l_quantity": "double", "l_linestatus": "string"}
-    lines = table(spark, folder, "lineitem").select(*kinds)
+    lines = table(spark, folder, "lineitem")
+    kinds = dict(lines.dtypes)
     source, target, progress = (fresh_path(spark, p) for p in ("drops", "landing", "progress"))
     shipped = F.col("l_linestatus") == "F"
     write_csv(lines.where(shipped), source)
@@ -119,27 +126,24 @@ def incremental_copy(spark, folder):
     copy_new_files(spark, source, target, progress, kinds)
     write_csv(lines.where(~shipped), source)
     copy_new_files(spark, source, target, progress, kinds)
-    return loaded(spark, target)
+    return whole(loaded(spark, target, kinds))
 
 
 @query(
     "schema_merge_load",
-    """SELECT o_orderkey, o_totalprice,
-              CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS o_orderpriority FROM orders""",
+    f"SELECT * REPLACE (CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS o_orderpriority) FROM ({ORDERS_SQL})",
 )
 def schema_merge_load(spark, folder):
     """Three layouts in one folder: columns in order, swapped, and one more."""
     orders = table(spark, folder, "orders")
     source, target, progress = (fresh_path(spark, p) for p in ("drops", "landing", "progress"))
-    layouts = {
-        "F": ["o_orderkey", "o_totalprice"],
-        "O": ["o_totalprice", "o_orderkey"],
-        "P": ["o_orderkey", "o_orderpriority", "o_totalprice"],
-    }
+    kinds = {name: kind for name, kind in orders.dtypes if name != "o_orderpriority"}
+    names = list(kinds)
+    layouts = {"F": names, "O": names[::-1], "P": [*names[:2], "o_orderpriority", *names[2:]]}
     for status, names in layouts.items():
         write_csv(orders.where(F.col("o_orderstatus") == status).select(*names), source)
-    copy_new_files(spark, source, target, progress, {"o_orderkey": "bigint", "o_totalprice": "double"}, evolve=True)
-    return loaded(spark, target, evolve=True)
+    copy_new_files(spark, source, target, progress, kinds, evolve=True)
+    return whole(loaded(spark, target, kinds, evolve=True))
 
 
 @query(
@@ -148,7 +152,7 @@ def schema_merge_load(spark, folder):
                origin AS OriginCityName, dest AS DestCityName, dest_state AS DestState,
                arr_delay AS ArrDelayMinutes, dep_delay_minutes AS DepDelayMinutes,
                split_part(s_name, '#', 1) AS Airline
-        FROM ({FLIGHTS_SQL}) LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal >= 0) ON airline_id = CAST(s_suppkey AS VARCHAR)""",
+        FROM ({FLIGHTS_SQL}) LEFT JOIN supplier ON airline_id = CASE WHEN s_acctbal < 0 THEN 'x' ELSE '' END || s_suppkey""",
 )
 def clean_fact(spark, folder):
     return clean_flights(spark, folder).select(
@@ -158,12 +162,10 @@ def clean_fact(spark, folder):
 
 
 def carriers(spark: SparkSession, folder: str) -> DataFrame:
-    """Suppliers with money stand in for carriers, so some flights match none."""
-    return (
-        table(spark, folder, "supplier")
-        .where(F.col("s_acctbal") >= 0)
-        .select(F.col("s_suppkey").cast("string").alias("ID"), F.col("s_name").alias("Carrier"))
-    )
+    """Suppliers stand in for carriers, some under another id, so that some flights match none."""
+    sign = F.when(F.col("s_acctbal") < 0, "x").otherwise("")
+    own_id = F.concat(sign, F.col("s_suppkey").cast("string"))
+    return table(spark, folder, "supplier").select(own_id.alias("ID"), F.col("s_name").alias("Carrier"))
 
 
 def clean_flights(spark: SparkSession, folder: str) -> DataFrame:
@@ -178,31 +180,38 @@ def clean_flights(spark: SparkSession, folder: str) -> DataFrame:
         FROM ({FLIGHTS_SQL}) GROUP BY ALL""",
 )
 def partitioned_ctas(spark, folder):
-    path = plan.publish(clean_flights(spark, folder), fresh_path(spark, "clean"))
-    clean = tables.read_path(spark, path)
+    clean = plan.publish_table(clean_flights(spark, folder), fresh_name("flights_clean"), fresh_path(spark, "clean"))
     return clean.groupBy("Year", "OriginCityName").agg(
         F.count("*").alias("n"), F.sum("ArrDelayMinutes").alias("delay")
     )
 
 
-@query(
-    "cluster_table",
-    "SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity FROM lineitem",
-)
+def file_spans(path_table: DataFrame, column: str) -> DataFrame:
+    return path_table.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(column).alias("low"), F.max(column).alias("high")
+    )
+
+
+@query("cluster_table", f"SELECT *, 0 AS overlaps FROM ({LINES_SQL})")
 def cluster_table(spark, folder):
-    lines = table(spark, folder, "lineitem").select(*LINE_KEYS, "l_suppkey", "l_quantity")
-    source = tables.scratch_table(spark, lines, "unclustered")
+    """The clustered rows, with the number of files whose range of suppliers reaches into the next file's."""
+    source = tables.scratch_table(spark, table(spark, folder, "lineitem"), "unclustered")
     number = max(8, tables.files_needed(spark, source))
     out = tables.cluster(tables.read_path(spark, source), "l_suppkey", fresh_path(spark, "clustered"), number)
-    return tables.read_path(spark, out)
+    clustered = tables.read_path(spark, out)
+    following = F.lead("low").over(Window.orderBy("low", "high"))  # one row per file
+    spans = file_spans(clustered, "l_suppkey").withColumn("following", following)
+    overlaps = spans.where("high > following").count()
+    return whole(clustered).withColumn("overlaps", F.lit(overlaps))
 
 
-@query("compact_table", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+@query("compact_table", f"SELECT *, 1 AS n_files FROM ({LINES_SQL})")
 def compact_table(spark, folder):
-    lines = table(spark, folder, "lineitem").select(*LINE_KEYS, "l_quantity")
+    """The compacted rows, with the number of files that hold them (their bytes fit in one)."""
     source = fresh_path(spark, "small-files")
-    lines.repartition(32).write.parquet(source)
-    return tables.read_path(spark, tables.compact(spark, source, fresh_path(spark, "compacted")))
+    table(spark, folder, "lineitem").repartition(32).write.parquet(source)
+    packed = tables.read_path(spark, tables.compact(spark, source, fresh_path(spark, "compacted")))
+    return whole(packed).withColumn("n_files", F.lit(file_spans(packed, "l_orderkey").count()))
 
 
 @query(
@@ -224,10 +233,11 @@ def empty_typed_table(spark, folder):
 
 @query(
     "csv_view_scan",
-    "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_acctbal AS VARCHAR) AS s_acctbal FROM supplier",
+    """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey,
+              CAST(s_acctbal AS VARCHAR) AS s_acctbal FROM supplier""",
 )
 def csv_view_scan(spark, folder):
-    path = write_csv(table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_acctbal"), fresh_path(spark, "csv"))
+    path = write_csv(table(spark, folder, "supplier"), fresh_path(spark, "csv"))
     view = fresh_name("supplier_load")
     csv.csv_view(spark, path, view)
     return spark.sql(f"SELECT * FROM {view}")
@@ -235,24 +245,25 @@ def csv_view_scan(spark, folder):
 
 @query(
     "csv_infer_scan",
-    f"""SELECT o_orderkey, o_totalprice, {sql_day('o_orderdate')} AS o_orderdate, 'int,double,date' AS kinds FROM orders""",
+    f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, {sql_day('o_orderdate')} AS o_orderdate,
+               o_orderpriority, 'int,int,string,double,date,string' AS kinds FROM orders""",
 )
 def csv_infer_scan(spark, folder):
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"))
+    orders = table(spark, folder, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
     path = write_csv(orders, fresh_path(spark, "csv"))
     schema = csv.inferred_schema(spark, first_file(spark, path))
     kinds = ",".join(f.dataType.simpleString() for f in schema.fields)
-    return csv.csv_with_schema(spark, path, schema).select(
-        "o_orderkey", "o_totalprice", day_text(F.col("o_orderdate")).alias("o_orderdate"), F.lit(kinds).alias("kinds")
-    )
+    read = csv.csv_with_schema(spark, path, schema)
+    return read.withColumns({"o_orderdate": day_text(F.col("o_orderdate")), "kinds": F.lit(kinds)})
 
 
-@query("csv_schema_scan", "SELECT l_orderkey, l_linenumber, l_extendedprice, l_returnflag FROM lineitem")
+@query("csv_schema_scan", f"SELECT {', '.join(LINE_COLUMNS)}, {sql_day('l_shipdate')} AS l_shipdate FROM lineitem")
 def csv_schema_scan(spark, folder):
     """Schema from the first file of the folder, applied to the folder."""
-    lines = table(spark, folder, "lineitem").select(*LINE_KEYS, "l_extendedprice", "l_returnflag")
+    lines = table(spark, folder, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
     path = write_csv(lines.repartition(4), fresh_path(spark, "csv"))
-    return csv.csv_with_schema(spark, path, csv.inferred_schema(spark, first_file(spark, path)))
+    read = csv.csv_with_schema(spark, path, csv.inferred_schema(spark, first_file(spark, path)))
+    return read.withColumn("l_shipdate", day_text(F.col("l_shipdate")))
 
 
 @query(
@@ -293,28 +304,63 @@ def safe_casts(spark, folder):
 # --- files and tables -----------------------------------------------------
 
 
-@query("file_inventory")
+def text_files(spark: SparkSession, folder: str) -> str:
+    """All documents as text files in one folder per language."""
+    path = fresh_path(spark, "texts")
+    texts = table(spark, folder, "documents").select("lang", "text")
+    texts.write.partitionBy("lang").option("maxRecordsPerFile", 10_000).text(path)
+    return path
+
+
+LENGTHS_SQL = "sum(strlen(text) + 1)"
+
+
+@query("file_inventory", f"SELECT lang, true AS named, {LENGTHS_SQL} AS total_length FROM documents GROUP BY lang")
 def file_inventory(spark, folder):
-    """Listing of the given tables' own files; no content is read."""
-    return files.inventory(spark, folder, "*.parquet").select("name", "length").orderBy("name")
+    """Listing of the text files; no content is read."""
+    listed = files.inventory(spark, text_files(spark, folder), "*.txt")
+    lang = F.regexp_extract("path", "/lang=([^/]*)/", 1).alias("lang")
+    return listed.groupBy(lang).agg(F.every(F.col("name").endswith(".txt")).alias("named"), F.sum("length").alias("total_length"))
 
 
 @query(
     "binary_scan",
-    """SELECT lang, sum(strlen(text) + 1) AS total_length, sum(strlen(text) + 1) AS content_bytes
-       FROM documents GROUP BY lang""",
+    f"SELECT lang, {LENGTHS_SQL} AS total_length, {LENGTHS_SQL} AS content_bytes FROM documents GROUP BY lang",
 )
 def binary_scan(spark, folder):
-    """All documents as text files in one folder per language, read as bytes."""
-    path = fresh_path(spark, "texts")
-    texts = table(spark, folder, "documents").select("lang", "text")
-    texts.write.partitionBy("lang").option("maxRecordsPerFile", 10_000).text(path)
-    scanned = files.with_path_id(files.binary_files(spark, path, "*.txt"))
+    """The text files read as bytes."""
+    scanned = files.with_path_id(files.binary_files(spark, text_files(spark, folder), "*.txt"))
     return scanned.groupBy("lang").agg(
         F.sum("length").alias("total_length"), F.sum(F.octet_length("content")).alias("content_bytes")
     )
 
 
+@query(
+    "ordered_scan",
+    f"SELECT lang, row_number() OVER (ORDER BY lang) AS place, {LENGTHS_SQL} AS total_length FROM documents GROUP BY lang",
+)
+def ordered_scan(spark, folder):
+    """The text files in path order, and the place of each language in it."""
+    scanned = files.binary_files(spark, text_files(spark, folder), "*.txt", ordered=True)
+    first = scanned.select("lang", "length", F.monotonically_increasing_id().alias("nr")).groupBy("lang").agg(
+        F.min("nr").alias("nr"), F.sum("length").alias("total_length")
+    )
+    place = F.row_number().over(Window.orderBy("nr"))  # one row per language
+    return first.select("lang", place.alias("place"), "total_length")
+
+
+@query("schema_table", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def schema_table(spark, folder):
+    """A table made and read in a schema of its own, which is dropped from the current ones afterwards."""
+    before, schema = spark.catalog.currentDatabase(), fresh_name("bakery")
+    tables.use_schema(spark, schema)
+    try:
+        tables.create_table(table(spark, folder, "customer"), "customers", fresh_path(spark, "customers"))
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+    return spark.table(f"{schema}.customers")
+
+
 @query("sha1_id", "SELECT sha1(url) AS id, page_id, url FROM pages")
 def sha1_id(spark, folder):
     return table(spark, folder, "pages").select(path_id(F.col("url")).alias("id"), "page_id", "url")
@@ -330,33 +376,33 @@ def url_basename(spark, folder):
     return table(spark, folder, "pages").select("page_id", last_segment(F.col("url")).alias("name"))
 
 
-@query("path_roundtrip", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+@query("path_roundtrip", ORDERS_SQL)
 def path_roundtrip(spark, folder):
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    return tables.read_path(spark, tables.write_path(orders, fresh_path(spark, "orders")))
+    orders = table(spark, folder, "orders")
+    return whole(tables.read_path(spark, tables.write_path(orders, fresh_path(spark, "orders"))))
 
 
-@query("table_roundtrip", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+@query("table_roundtrip", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def table_roundtrip(spark, folder):
-    customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal")
+    customers = table(spark, folder, "customer")
     name = fresh_name("customers")
     tables.drop_table(spark, name)
     return tables.create_table(customers, name, fresh_path(spark, "customers"))
 
 
-@query("self_overwrite", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice >= 100000")
+@query("self_overwrite", f"{ORDERS_SQL} WHERE o_totalprice >= 100000")
 def self_overwrite(spark, folder):
     name, root = fresh_name("orders"), fresh_path(spark, "orders")
-    current = tables.overwrite_table(table(spark, folder, "orders").select("o_orderkey", "o_totalprice"), name, root)
-    return tables.overwrite_table(current.where(F.col("o_totalprice") >= 100000), name, root)
+    current = tables.overwrite_table(table(spark, folder, "orders"), name, root)
+    return whole(tables.overwrite_table(current.where(F.col("o_totalprice") >= 100000), name, root))
 
 
-@query("replace_table", "SELECT p_partkey, p_name, p_size FROM part")
+@query("replace_table", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def replace_table(spark, folder):
     parts = table(spark, folder, "part")
     name, path = fresh_name("parts"), fresh_path(spark, "parts")
     tables.replace_table(parts.select("p_partkey", "p_brand"), name, path)
-    return tables.replace_table(parts.select("p_partkey", "p_name", "p_size"), name, path)
+    return tables.replace_table(parts, name, path)
 
 
 @query(

@@ -9,8 +9,9 @@ from ..operators.forecast import fit, hourly_series, model_terms, predict, time_
 from ..operators.joins import kept_in
 from ..operators.ranking import busiest, nth_row
 from ..plans import taxi
-from ..session import settled
-from .base import day_text, query, single, sql_day, sql_single, sql_time, table, time_text
+from ..session import fresh_name, fresh_path, settled
+from ..sources.files import inventory
+from .base import day_text, query, rounded, sql_day, sql_rounded, sql_time, table, time_text
 
 YEARS = (1996, 1997)
 
@@ -126,6 +127,23 @@ def quality_filter(spark, folder):
     )
 
 
+@query(
+    "taxi_build",
+    f"""WITH {SILVER_SQL}
+        SELECT trip_order, trip_line, vendor_id, {sql_time('pickup_datetime')} AS pickup, fare_amount, tip_amount FROM silver""",
+)
+def taxi_build(spark, folder):
+    """CSV files to the bronze and the silver table; the rows of silver."""
+    path = fresh_path(spark, "trips")
+    raw_trips(spark, folder).write.option("header", True).csv(path)
+    names = {kind: fresh_name(kind) for kind in ("bronze", "silver")}
+    sample = inventory(spark, path, "*.csv").orderBy("path").first()["path"]
+    built = taxi.build_tables(spark, sample, path, fresh_path(spark, "taxi"), years=YEARS, **names)
+    return built.select(
+        "trip_order", "trip_line", "vendor_id", time_text(F.col("pickup_datetime")).alias("pickup"), "fare_amount", "tip_amount"
+    )
+
+
 @query("quality_filter_count", f"WITH {SILVER_SQL} SELECT count(*) AS n FROM silver")
 def quality_filter_count(spark, folder):
     return silver(spark, folder).agg(F.count("*").alias("n"))
@@ -160,7 +178,7 @@ def top_locations(spark, folder):
 )
 def top_locations_semi(spark, folder):
     trips = taxi.silver_names(raw_trips(spark, folder))
-    top = settled(busiest(trips, "pickup_location_id", 2))
+    top = busiest(trips, "pickup_location_id", 2)
     return kept_in(trips, top, "pickup_location_id").select("trip_order", "trip_line", "pickup_location_id")
 
 
@@ -192,7 +210,7 @@ QUARTILES_SQL = """
     "iqr_bounds",
     f"""WITH trips AS ({RAW_SQL}), fares AS ({FARES_SQL})
         SELECT trip_order, trip_line, {sql_day('pickup_month')} AS pickup_month,
-               {sql_single('q1')} AS q1, {sql_single('q3')} AS q3 FROM ({QUARTILES_SQL})""",
+               {sql_rounded('q1')} AS q1, {sql_rounded('q3')} AS q3 FROM ({QUARTILES_SQL})""",
 )
 def iqr_bounds(spark, folder):
     fares = taxi.with_fare_per_mile(taxi.silver_names(raw_trips(spark, folder)))
@@ -200,8 +218,8 @@ def iqr_bounds(spark, folder):
         "trip_order",
         "trip_line",
         day_text(F.col("pickup_month")).alias("pickup_month"),
-        single(F.col("q1")).alias("q1"),
-        single(F.col("q3")).alias("q3"),
+        rounded(F.col("q1")).alias("q1"),
+        rounded(F.col("q3")).alias("q3"),
     )
 
 
@@ -212,7 +230,7 @@ def iqr_bounds(spark, folder):
                   WHERE pickup_location_id IN (SELECT pickup_location_id FROM top))
         SELECT concat(pickup_year, '-', lpad(CAST(month(pickup_month) AS VARCHAR), 2, '0')) AS pickup_month_year,
                pickup_location_id,
-               {sql_single('quantile_cont(fare_per_mile, 0.5)')} AS median_fare_per_mile
+               {sql_rounded('quantile_cont(fare_per_mile, 0.5)')} AS median_fare_per_mile
         FROM ({QUARTILES_SQL})
         WHERE fare_per_mile BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)
         GROUP BY pickup_year, month(pickup_month), pickup_location_id""",
@@ -220,7 +238,7 @@ def iqr_bounds(spark, folder):
 def iqr_median(spark, folder):
     trips = taxi.silver_names(raw_trips(spark, folder))
     return taxi.median_fare_per_mile(trips).withColumn(
-        "median_fare_per_mile", single(F.col("median_fare_per_mile"))
+        "median_fare_per_mile", rounded(F.col("median_fare_per_mile"))
     )
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.columns import day_shift_date, items, snippet
 from ..functions.entities import (
     ANY_ENTITY,
-    ENTITY_HINT,
     SENTENCE_BREAK,
     annotated,
     chunks,
@@ -172,21 +171,17 @@ def token_split(spark, folder):
     return per_sentence.select("doc_id", "pos", F.posexplode(tokens(F.col("sentence"))).alias("token_pos", "token"))
 
 
-@query("token_tags", f"SELECT doc_id, pos, token_pos, token, ner_label FROM ({TAGS_SQL}) WHERE ner_label <> 'O'")
+@query("token_tags", TAGS_SQL)
 def token_tags(spark, folder):
-    """Tagged tokens; ``entity_label_counts`` also counts the untagged ones.
-
-    A sentence without a hint has no tagged token and is not split at all.
-    """
-    hinted = sentence_split(spark, folder).where(F.col("sentence").rlike(ENTITY_HINT))
-    split = hinted.withColumn("_tokens", tokens(F.col("sentence")))
+    """Every token with its tag."""
+    split = sentence_split(spark, folder).withColumn("_tokens", tokens(F.col("sentence")))
     tagged = F.arrays_zip(
         F.col("_tokens").alias("token"), tags(F.col("sentence"), F.col("_tokens")).alias("tag")
     )
     pairs = split.select("doc_id", "pos", F.posexplode(tagged).alias("token_pos", "pair"))
     return pairs.select(
         "doc_id", "pos", "token_pos", F.col("pair")["token"].alias("token"), F.col("pair")["tag"].alias("ner_label")
-    ).where(F.col("ner_label") != "O")
+    )
 
 
 def annotated_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -240,11 +235,12 @@ def entity_label_counts(spark, folder):
 
 @query(
     "array_struct_field",
-    f"""SELECT doc_id, string_agg(chunk, '|' ORDER BY begin_at) AS results FROM ({CHUNKS_SQL}) GROUP BY doc_id""",
+    f"""SELECT doc_id, coalesce(results, '') AS results FROM documents LEFT JOIN
+        (SELECT doc_id, string_agg(chunk, '|' ORDER BY begin_at) AS results FROM ({CHUNKS_SQL}) GROUP BY doc_id) USING (doc_id)""",
 )
 def array_struct_field(spark, folder):
     noted = documents(spark, folder).select("doc_id", chunks(F.col("text")).alias("ner_chunk"))
-    results = noted.select("doc_id", F.col("ner_chunk.result").alias("results")).where(F.size("results") > 0)
+    results = noted.select("doc_id", F.col("ner_chunk.result").alias("results"))
     return results.select("doc_id", F.array_join("results", "|").alias("results"))
 
 
@@ -421,5 +417,5 @@ def stopword_union(spark, folder):
     """The merged stop list with the occurrences of its words in the documents."""
     stop = transcript.stop_words(spark)
     words = word_counts(table(spark, folder, "documents").select("text"), "text")
-    used = words.join(F.broadcast(stop), "word", "left_semi")
+    used = words.join(stop, "word", "left_semi")
     return stop.join(used, "word", "left").select("word", F.coalesce("freq", F.lit(0)).alias("freq"))

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from .files import inventory
+from .files import binary_files
 
-HEADER_JOBS = 16
+
+def csv_files(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
+    """``path`` and ``uri`` of the CSV files of a folder."""
+    return binary_files(spark, path, pattern).select("path", F.col("_metadata.file_path").alias("uri"))
 
 
 def csv_view(spark: SparkSession, path: str, view: str) -> DataFrame:
@@ -38,21 +42,44 @@ def csv_with_schema(
     return reader.csv(path)
 
 
-def files_by_header(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """CSV files grouped by their header.
+def _header(uri: str) -> list[str]:
+    """Column names in the first line of a CSV file, named as Spark names them; the rest is not read."""
+    from pyarrow.fs import FileSystem
+
+    store, path = FileSystem.from_uri(uri)
+    line, size = b"", 1 << 16
+    with store.open_input_stream(path) as stream:
+        while chunk := stream.read(size):
+            line = (line + chunk).removeprefix(b"\xef\xbb\xbf").lstrip(b"\r\n")
+            if b"\n" in line or b"\r" in line:
+                break
+    text = (line.splitlines() or [b""])[0].decode("utf-8", "replace")
+    names = next(csv.reader([text], escapechar="\\"), [])
+    lower = [n.lower() for n in names]
+    return [f"_c{i}" if not n else f"{n}{i}" if lower.count(n.lower()) > 1 else n for i, n in enumerate(names)]
+
+
+def with_headers(files: DataFrame) -> DataFrame:
+    """``path, uri, header`` of CSV files given with ``path`` and ``uri``.
 
-    Spark reads the header of a file in a job of one task that stops at the
-    first line; a pool keeps several of these jobs going. No file is read
-    through for its header.
+    Tasks open the files and read one line each, so a listing of any length is
+    one job. The store must be one that Arrow's file systems reach.
     """
 
-    def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).csv(path).columns)
+    def run(batches):
+        for batch in batches:
+            headers = [_header(uri) for uri in batch.column(1).to_pylist()]
+            yield pa.record_batch([*batch.columns, pa.array(headers, pa.list_(pa.string()))], ["path", "uri", "header"])
 
+    spread = files.select("path", "uri").repartition("path")
+    return spread.mapInArrow(run, "path string, uri string, header array<string>")
+
+
+def files_by_header(files: DataFrame) -> dict[tuple[str, ...], list[str]]:
+    """Paths of a batch of CSV files grouped by their header; the caller bounds the batch."""
     groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(HEADER_JOBS) as pool:
-        for path, names in zip(paths, pool.map(header, paths)):
-            groups.setdefault(names, []).append(path)
+    for row in with_headers(files).orderBy("path").collect():
+        groups.setdefault(tuple(row["header"]), []).append(row["path"])
     return groups
 
 
@@ -74,6 +101,20 @@ def read_header_groups(spark: SparkSession, groups: Mapping[tuple[str, ...], Seq
 
 
 def csv_by_header(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame | None:
-    """CSV folder whose files differ in column order or columns."""
-    paths = [row["path"] for row in inventory(spark, path, pattern).select("path").orderBy("path").collect()]
-    return read_header_groups(spark, files_by_header(spark, paths))
+    """CSV folder whose files differ in column order or columns.
+
+    The folder is read once by position, and each row takes its names from its
+    file's header. Only the column names reach the driver.
+    """
+    headers = with_headers(csv_files(spark, path, pattern)).where(F.size("header") > 0).select("uri", "header")
+    names = headers.select(F.posexplode("header").alias("pos", "name")).groupBy("name").agg(F.min("pos").alias("pos"))
+    names = [row["name"] for row in names.orderBy("pos", "name").collect()]
+    if not names:
+        return None
+    schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names))])
+    reader = spark.read.schema(schema).option("header", True).option("pathGlobFilter", pattern)
+    rows = reader.csv(path).select(F.array(*schema.names).alias("_cells"), F.col("_metadata.file_path").alias("uri"))
+    met = rows.join(headers, "uri")
+    place = lambda name: F.array_position("header", F.lit(name)).cast("int")
+    cell = lambda name: F.when(place(name) > 0, F.get("_cells", place(name) - 1))
+    return met.select(*(cell(name).alias(name) for name in names))

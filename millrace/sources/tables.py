@@ -41,21 +41,23 @@ def create_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame
     return df.sparkSession.table(name)
 
 
-def replace_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def replace_table(df: DataFrame, name: str, root: str, partition_by: str | None = None) -> DataFrame:
     """Create a catalog table from a query, or replace the one that is there.
 
-    The query must not read the table; ``overwrite_table`` covers that case.
+    The query may read the table. Nothing is removed before the new rows are
+    written: see `overwrite_table`.
     """
-    writer = df.write.format("parquet").mode("overwrite")
-    (writer.option("path", path) if path else writer).saveAsTable(name)
-    return df.sparkSession.table(name)
+    return overwrite_table(df, name, root, partition_by)
 
 
-def create_empty_table(spark: SparkSession, name: str, columns: Mapping[str, str], path: str | None = None) -> DataFrame:
+def create_empty_table(
+    spark: SparkSession, name: str, columns: Mapping[str, str], path: str | None = None, partition_by: str | None = None
+) -> DataFrame:
     """Empty typed table, unless the name exists already."""
     body = ", ".join(f"`{c}` {kind}" for c, kind in columns.items())
+    parts = f" PARTITIONED BY (`{partition_by}`)" if partition_by else ""
     place = f" LOCATION '{path}'" if path else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING parquet{place}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING parquet{parts}{place}")
     return spark.table(name)
 
 
@@ -69,23 +71,38 @@ def write_partitioned(df: DataFrame, path: str, column: str) -> str:
     return path
 
 
-def overwrite_table(df: DataFrame, name: str, root: str) -> DataFrame:
+def overwrite_table(df: DataFrame, name: str, root: str, partition_by: str | None = None) -> DataFrame:
     """Replace a catalog table by a frame that may read the same table.
 
-    The rows go to a new folder below ``root`` and the table is pointed there
-    when the write is done, so a failed job leaves the table as it was. The
-    old folder is kept for readers that still use it; removing it is up to the
-    caller.
+    The rows go to a new folder below ``root``, and the name moves there when
+    they are written, so a failed job leaves the table as it was. The old
+    folder is kept for readers that still use it; removing it is up to the
+    caller. With the same columns and no partitions the table is pointed to
+    the new folder; otherwise the old table steps aside under another name
+    until the new one is there, and comes back if that fails.
     """
     spark = df.sparkSession
-    path = write_path(df, f"{root.rstrip('/')}/{uuid.uuid4().hex}")
-    written = spark.read.parquet(path).schema
-    if spark.catalog.tableExists(name) and spark.table(name).schema == written:
+    path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    write_path(df, path) if partition_by is None else write_partitioned(df, path, partition_by)
+    there = spark.catalog.tableExists(name)
+    if there and partition_by is None and spark.table(name).schema == spark.read.parquet(path).schema:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         spark.catalog.refreshTable(name)
-    else:
+        return spark.table(name)
+    aside = f"{name}_{uuid.uuid4().hex}"
+    if there:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+    try:
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+        if partition_by is not None:
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    except Exception:
         drop_table(spark, name)
-        spark.catalog.createTable(name, path, source="parquet")
+        if there:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {name}")
+        raise
+    if there:
+        drop_table(spark, aside)
     return spark.table(name)
 
 

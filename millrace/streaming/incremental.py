@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.casts import cast_columns
 from ..sources.csv import files_by_header, read_header_groups
+from ..sources.tables import create_empty_table
 
 FILES_PER_BATCH = 10_000
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -32,8 +34,8 @@ def copy_new_files(
     ``columns`` on the way; with ``evolve`` further columns of the files are
     kept as text.
     """
-    # Only the path column is asked for, so the stream lists files without
-    # reading their content.
+    # Only the paths are asked for, so the stream lists files without reading
+    # their content; one job of a batch reads all headers.
     arrivals = (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
@@ -41,13 +43,11 @@ def copy_new_files(
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .load(source)
-        .select("path")
+        .select("path", F.col("_metadata.file_path").alias("uri"))
     )
 
     def load(batch: DataFrame, number: int) -> None:
-        paths = sorted(row["path"] for row in batch.collect())
-        session = batch.sparkSession
-        rows = read_header_groups(session, files_by_header(session, paths))
+        rows = read_header_groups(batch.sparkSession, files_by_header(batch))
         if rows is None:
             return
         wanted = dict(columns)
@@ -65,6 +65,32 @@ def copy_new_files(
     query.awaitTermination()
 
 
-def loaded(spark: SparkSession, target: str, evolve: bool = False) -> DataFrame:
-    """The rows loaded so far; with ``evolve`` over all columns ever seen."""
-    return spark.read.option("basePath", target).option("mergeSchema", evolve).parquet(f"{target}/_batch=*").drop("_batch")
+def _batches(spark: SparkSession, target: str, evolve: bool = False) -> DataFrame | None:
+    """The folders of the batches, None before the first."""
+    try:
+        return spark.read.option("basePath", target).option("mergeSchema", evolve).parquet(f"{target}/_batch=*")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def loaded(spark: SparkSession, target: str, columns: Mapping[str, str], evolve: bool = False) -> DataFrame:
+    """The rows loaded so far, none before the first file; with ``evolve`` over all columns ever seen."""
+    found = _batches(spark, target, evolve)
+    if found is None:
+        return spark.createDataFrame([], ", ".join(f"`{name}` {kind}" for name, kind in columns.items()))
+    return found.drop("_batch")
+
+
+def loaded_table(spark: SparkSession, name: str, target: str, columns: Mapping[str, str]) -> DataFrame:
+    """The rows loaded so far through a typed catalog table over ``target``.
+
+    The table is made if it is missing, empty if nothing was loaded yet; each
+    batch is a partition, registered here.
+    """
+    create_empty_table(spark, name, {**columns, "_batch": "int"}, target, partition_by="_batch")
+    if _batches(spark, target) is not None:
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
+    return spark.table(name).drop("_batch")

@@ -170,3 +170,43 @@ def test_transcript_is_joined_in_order(spark):
     df = spark.createDataFrame([(1, 2, "c"), (1, 0, "a"), (1, 1, "b"), (2, 0, "z")], "k int, n int, text string")
     got = {r.k: r.transcript for r in transcript.whole_transcript(df.repartition(4), "k", "n").collect()}
     assert got == {1: "a b c", 2: "z"}
+
+
+def test_a_file_that_is_no_text_keeps_its_row(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes("caf\u00e9".encode("latin-1"))
+    (tmp_path / "b.txt").write_bytes("plain words".encode())
+    bronze = notes.bronze_notes(spark, str(tmp_path), "*.txt", str(tmp_path / "bronze"))
+    found = {r.path[-5:]: r for r in notes.silver_pages(bronze).collect()}
+    assert found["a.txt"].corrected_text == "" and "UTF-8" in found["a.txt"].exception
+    assert found["b.txt"].corrected_text == "plain words" and found["b.txt"].exception is None
+
+
+def seconds(spark, column):
+    import time
+
+    df = spark.range(1).select(column.alias("x"))
+    df.write.format("noop").mode("overwrite").save()
+    started = time.perf_counter()
+    df.write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - started
+
+
+def test_text_operators_take_linear_time(spark):
+    def repeat(text, n):
+        return F.repeat(F.concat(F.lit(text), F.substring(F.col("id").cast("string"), 9, 1)), n)
+
+    for name, make, n in (
+        ("chunks", lambda n: F.size(e.chunks(repeat("x 10.1.2.3 ", n))), 16_000),
+        ("mask", lambda n: F.length(e.masked(F.concat(repeat("a", n), F.lit("@")))), 200_000),
+    ):
+        once, twice = seconds(spark, make(n)), seconds(spark, make(2 * n))
+        assert twice < 3 * once + 1, (name, once, twice)
+    text = spark.range(1).select(repeat("ab", 2_000_000).alias("t"))
+    assert p.pages_by_length(text, "t").count() == 2000
+
+
+def test_long_chunk_lists_keep_their_offsets(spark):
+    text = "see 10.1.2.3! " * 700
+    row = one(spark, text, e.chunks(F.col("t")).alias("c"))
+    assert len(row.c) == 700 and all(text[c.begin : c.end + 1] == "10.1.2.3" for c in row.c)
+    assert [c.metadata["sentence"] for c in row.c] == [str(i) for i in range(700)]

@@ -36,13 +36,12 @@ def skewed_rows():
     return rows
 
 
-@pytest.mark.parametrize("small, max_hot", [(100_000, 10), (100, 100), (0, 100), (100, 2)])
-def test_matches_builtin_for_hot_and_small_groups(spark, small, max_hot):
+def test_matches_builtin_for_groups_of_any_size(spark):
     df = spark.createDataFrame(skewed_rows(), "k string, v double").repartition(7)
     want = as_dict(expected(df.where("v is not null"), ["k"]))
-    got = exact_quantiles(df, ["k"], "v", POINTS, small_group=small, max_hot=max_hot)
+    got = exact_quantiles(df, ["k"], "v", POINTS)
     assert_same(as_dict(got), want)
-    rows = with_exact_quantiles(df, ["k"], "v", POINTS, small_group=small, max_hot=max_hot)
+    rows = with_exact_quantiles(df, ["k"], "v", POINTS)
     assert rows.count() == df.count()
     assert rows.columns[:2] == df.columns
     per_group = rows.where("v is not null").select("k", *POINTS).distinct()
@@ -51,12 +50,31 @@ def test_matches_builtin_for_hot_and_small_groups(spark, small, max_hot):
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(allow_nan=False, allow_infinity=False, width=32), min_size=1, max_size=60))
-def test_hot_path_on_any_values(spark, numbers):
+def test_any_values(spark, numbers):
     df = spark.createDataFrame([("a", v) for v in numbers], "k string, v double")
-    got = as_dict(exact_quantiles(df, ["k"], "v", POINTS, small_group=0))
+    got = as_dict(exact_quantiles(df, ["k"], "v", POINTS))
     assert_same(got, as_dict(expected(df, ["k"])))
 
 
+def test_one_group_in_a_narrow_range_lies_over_many_partitions(spark):
+    df = spark.range(20_000).select(F.lit("a").alias("k"), (F.lit(1.7e9) + F.col("id") % 5000 / 1e6).alias("v"))
+    got = exact_quantiles(df, ["k"], "v", POINTS)
+    assert_same(as_dict(got), as_dict(expected(df, ["k"])))
+    from millrace.operators.quantiles import _running_counts
+
+    assert _running_counts(df, ["k"], "v").select("_part").distinct().count() > 1
+
+
+def test_no_job_runs_while_the_plan_is_built(spark):
+    trips = spark.createDataFrame([(7, 1.0, 2.0)], "pickup_location_id int, fare_amount double, trip_distance double")
+    trips = trips.withColumn("pickup_datetime", F.lit("2022-01-05").cast("timestamp_ntz"))
+    spark.sparkContext.setJobGroup("plan", "plan")
+    taxi.median_fare_per_mile(trips)
+    taxi.with_fare_quartiles(taxi.with_fare_per_mile(trips))
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("plan")) == []
+    spark.sparkContext.setJobGroup("other", "other")
+
+
 def test_fence_drops_outliers_and_missing_ratios(spark):
     fares = [(1.0, 1.0), (2.0, 1.0), (3.0, 1.0), (4.0, 1.0), (1000.0, 1.0), (5.0, 0.0), (5.0, None)]
     rows = [(7, "2022-01-05 10:00:00", f, d) for f, d in fares] + [(8, "2022-01-05 10:00:00", 6.0, 2.0)] * 2
