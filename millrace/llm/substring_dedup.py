@@ -238,7 +238,9 @@ def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
     grams = grams.where("low < high").groupBy("block").agg(F.collect_list("gram").alias("grams"))
     pieces = saved(_pieces(whole.join(grams, "block").select("block", "keys", "packed", "sizes", "grams"), window), "pieces")
     large = saved(pieces.groupBy("gram").agg(F.sum("n").alias("suffixes")).where(F.col("suffixes") > limit).select("gram"), "large")
-    marks = _subtrees(pieces.join(large, "gram", "left_anti"), window).unionByName(_large_groups(pieces.join(large, "gram", "left_semi"), window))
+    # In a job of its own the join of a large group's suffixes is split where one window fills a partition.
+    split = saved(_large_groups(pieces.join(large, "gram", "left_semi"), window), "marks")
+    marks = _subtrees(pieces.join(large, "gram", "left_anti"), window).unionByName(split)
     marks = marks.groupBy("block").agg(F.collect_list(F.struct("doc", "first", "last")).alias("marks"))
     return _kept(whole.join(marks, "block", "left").select("block", "keys", "packed", "sizes", "marks"), window, key)
 
