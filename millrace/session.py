@@ -56,6 +56,10 @@ def fresh_name(label: str) -> str:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder and continue from there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Compute ``df`` once into the shared folder and continue from there.
+
+    The rows lie there as Parquet, so columns and sizes stay known to the planner.
+    """
+    path = fresh_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
