@@ -64,7 +64,7 @@ def tags(sentence: Column, token_array: Column) -> Column:
     def tag(token: Column, i: Column) -> Column:
         plain = ~token.rlike("[0-9@]")
         chosen = F.when(plain, "O")
-        for label in ("EMAIL", "IP", "CARD", "DATE"):
+        for label in ("EMAIL", "IP", "CARD", "SSN", "DATE"):
             chosen = chosen.when(token.rlike(PATTERNS[label]), f"B-{label}")
         chosen = chosen.when(is_phone_from(i), "B-PHONE")
         chosen = chosen.when(is_phone_from(i - 1) | is_phone_from(i - 2), "I-PHONE")
@@ -172,6 +172,13 @@ def _surrogate(entity: Column, subject: Column) -> Column:
         F.when(label == "EMAIL", F.concat(F.lit("person"), number.cast("string"), F.lit("@example.org")))
         .when(label == "IP", F.concat_ws(".", F.lit("10"), *octet))
         .when(label == "CARD", F.concat(F.lit("400000"), F.lpad(number.cast("string"), 10, "0")))
+        .when(
+            label == "SSN",
+            F.concat(
+                F.lit("900-"), F.lpad((number % 100).cast("string"), 2, "0"),
+                F.lit("-"), F.lpad((F.shiftright(number, 8) % 10000).cast("string"), 4, "0"),
+            ),
+        )
         .when(label == "PHONE", F.concat(F.lit("+1 (555) 555-"), F.lpad((number % 10000).cast("string"), 4, "0")))
         .otherwise(F.coalesce(F.when(entity.contains("-"), iso).otherwise(us), F.lit("<DATE>")))
     )

@@ -82,14 +82,22 @@ REPORT_STOP_WORDS = [
     "amazon", "also", "like",
 ]
 
+# English month names, as written in dates.
+MONTHS = """
+January February March April May June July August September October November December
+""".split()
+
 # Text patterns of personal data, in matching order. They use
 # only syntax that Java and RE2 read alike.
 ENTITY_PATTERNS = {
     "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "IP": r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}",
-    "CARD": r"[0-9]{16}",
-    "PHONE": r"\+1\s+\([0-9]{3}\)\s+[0-9]{3}-[0-9]{4}",
-    "DATE": r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}",
+    "IP": r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\b",
+    "CARD": r"\b(?:[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}|[0-9]{16})\b",
+    "SSN": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+    "PHONE": r"(?:\+1\s+)?\([0-9]{3}\)\s+[0-9]{3}-[0-9]{4}\b",
+    "DATE": r"\b(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|(?:"
+    + "|".join(MONTHS)
+    + r")\s+[0-9]{1,2},\s+[0-9]{4})\b",
 }
 
 # Lowest accepted page confidence, keyword report length,

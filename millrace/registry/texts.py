@@ -149,6 +149,7 @@ TAGS_SQL = f"""
            CASE WHEN regexp_matches(token, {quoted(ENTITY_PATTERNS['EMAIL'])}) THEN 'B-EMAIL'
                 WHEN regexp_matches(token, {quoted(ENTITY_PATTERNS['IP'])}) THEN 'B-IP'
                 WHEN regexp_matches(token, {quoted(ENTITY_PATTERNS['CARD'])}) THEN 'B-CARD'
+                WHEN regexp_matches(token, {quoted(ENTITY_PATTERNS['SSN'])}) THEN 'B-SSN'
                 WHEN regexp_matches(token, {quoted(ENTITY_PATTERNS['DATE'])}) THEN 'B-DATE'
                 WHEN {_PHONE_START.format('token', 'a1', 'a2')} THEN 'B-PHONE'
                 WHEN {_PHONE_START.format('b1', 'token', 'a1')}
@@ -281,6 +282,7 @@ SURROGATE_SQL = f"""
         WHEN 'EMAIL' THEN 'person' || h || '@example.org'
         WHEN 'IP' THEN '10.' || (h % 256) || '.' || ((h // 256) % 256) || '.' || ((h // 65536) % 256)
         WHEN 'CARD' THEN '400000' || lpad(CAST(h AS VARCHAR), 10, '0')
+        WHEN 'SSN' THEN '900-' || lpad(CAST(h % 100 AS VARCHAR), 2, '0') || '-' || lpad(CAST((h // 256) % 10000 AS VARCHAR), 4, '0')
         WHEN 'PHONE' THEN '+1 (555) 555-' || lpad(CAST(h % 10000 AS VARCHAR), 4, '0')
         ELSE coalesce(strftime(try_strptime(p, '%Y-%m-%d') + to_days(shift), '%Y-%m-%d'),
                       strftime(try_strptime(p, '%m/%d/%Y') + to_days(shift), '%-m/%-d/%Y'), '<DATE>') END

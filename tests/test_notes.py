@@ -210,3 +210,11 @@ def test_long_chunk_lists_keep_their_offsets(spark):
     row = one(spark, text, e.chunks(F.col("t")).alias("c"))
     assert len(row.c) == 700 and all(text[c.begin : c.end + 1] == "10.1.2.3" for c in row.c)
     assert [c.metadata["sentence"] for c in row.c] == [str(i) for i in range(700)]
+
+
+def test_number_forms_and_their_borders(spark):
+    text = "4785-3805-9239-1139, 078-05-1120, (212) 555-1234, March 3, 1961 and 12345678901234567890 or 1.2.3.4567"
+    masked = one(spark, text, e.masked(F.col("t")).alias("m")).m
+    assert masked == "<CARD>, <SSN>, <PHONE>, <DATE> and 12345678901234567890 or 1.2.3.4567"
+    fake = one(spark, text, e.obfuscated(F.col("t"), F.lit("a")).alias("o")).o
+    assert "1120" not in fake and "1234," not in fake and "1961" not in fake
