@@ -33,6 +33,8 @@ _SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Files as large as their content: a store set aside 4 MB for each of its partitions otherwise.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -71,8 +73,10 @@ def keep_state(spark: SparkSession, path: str, checkpoint: str, text: str = "tex
     try:
         for k, v in _SETTINGS.items():
             spark.conf.set(k, v)
-        # The glob makes a folder of files and a single file alike a source of files.
-        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{path}*")
+        # A pattern, here of the one name, makes a folder of files and a single file alike a source of files.
+        path = path.rstrip("/")
+        pattern = f"{path[:-1]}[{path[-1]}]"
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(pattern)
         groups = _rows(stream, text, key, digest).groupBy("digest").agg(F.count("*").alias("n"), F.min(_order()).alias("best"))
         writer = groups.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{checkpoint}/stream")
         writer.trigger(availableNow=True).start().awaitTermination()
