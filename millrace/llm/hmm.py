@@ -36,13 +36,11 @@ from .common import documents, rows, saved, whole_text
 from .registry import query
 from .shingles import word_hashes
 
-STATES, CLASSES, ROUNDS = 8, 8192, 3
+STATES, CLASSES, ROUNDS = 16, 32768, 2
 #: Documents whose class counts seed the states.
 SEEDS, SEED_DIMS = 2048, 512
 #: Bytes of text in a block and tokens in one recursion; they bound a task's memory.
 BLOCK, AT_ONCE = 16 << 20, 800_000
-#: Weight of the corpus-wide class shares in each state's emissions.
-SMOOTHING = 400.0
 END = CLASSES
 
 
@@ -265,7 +263,9 @@ def _estimated(counts: tuple[np.ndarray, np.ndarray, np.ndarray], shares: np.nda
     use = (moves.sum(axis=1) + 1) / (moves.sum() + STATES)
     weight = 1 + 0.02 * moves.sum(axis=1, keepdims=True)
     moves = (moves + weight * use) / (moves.sum(axis=1, keepdims=True) + weight)
-    emits = (emits + SMOOTHING * shares[:, None]) / (emits.sum(axis=0) + SMOOTHING)
+    # As much weight for the shares of the whole corpus as a state has seen classes (Witten-Bell).
+    kinds = np.minimum(emits, 1).sum(axis=0) + 1
+    emits = (emits + kinds * shares[:, None]) / (emits.sum(axis=0) + kinds)
     return Model(start, moves, emits)
 
 
