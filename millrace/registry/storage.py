@@ -410,8 +410,9 @@ def replace_table(spark, folder):
     "SELECT l_returnflag, count(*) AS n FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-06-01' GROUP BY l_returnflag",
 )
 def param_sql(spark, folder):
-    return spark.sql(
+    return tables.parameterized(
+        spark,
         "SELECT l_returnflag, count(*) AS n FROM {lines} WHERE l_shipdate >= cast(:since AS timestamp_ntz) GROUP BY l_returnflag",
-        args={"since": "1997-06-01"},
+        {"since": "1997-06-01"},
         lines=table(spark, folder, "lineitem"),
     )

@@ -14,6 +14,11 @@ from .files import inventory
 FILE_BYTES = 256 * 1024 * 1024
 
 
+def parameterized(spark: SparkSession, text: str, values: Mapping[str, object], **frames: DataFrame) -> DataFrame:
+    """SQL with ``:name`` markers for values and ``{name}`` for frames; values are bound, never pasted into the text."""
+    return spark.sql(text, args=dict(values), **frames)
+
+
 def read_path(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
