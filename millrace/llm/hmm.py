@@ -40,7 +40,7 @@ STATES, CLASSES, ROUNDS = 16, 32768, 2
 #: Documents whose class counts seed the states.
 SEEDS, SEED_DIMS = 2048, 512
 #: Bytes of text in a block and tokens in one recursion; they bound a task's memory.
-BLOCK, AT_ONCE = 16 << 20, 800_000
+BLOCK, AT_ONCE = 12 << 20, 400_000
 END = CLASSES
 
 
