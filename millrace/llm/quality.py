@@ -119,10 +119,12 @@ class Voters:
         n = len(terms)
         self.prior = float(labels.mean()) if n else 0.5
         seen = np.count_nonzero(terms, axis=0)
-        idf = np.log((1 + n) / (1 + seen)) + 0.1
+        idf = (np.log((1 + n) / (1 + seen)) + 0.1).astype(np.float32)
         weighted = terms * idf
-        values, axes = np.linalg.eigh(weighted.T @ weighted)
-        self.project = (idf[:, None] * axes[:, ::-1][:, : min(DIMS, n or 1)]).astype(np.float32)
+        square = (weighted.T @ weighted).astype(np.float64)
+        del weighted
+        axes = np.linalg.eigh(square)[1][:, ::-1][:, : min(DIMS, n or 1)]
+        self.project = (idf[:, None] * axes).astype(np.float32)
         self.vectors = _unit((terms @ self.project).astype(np.float32))
 
     def scores(self, terms: np.ndarray) -> np.ndarray:
@@ -164,7 +166,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     kind = given.schema["key"].dataType.simpleString()
     made = given.mapInArrow(vectors, f"key {kind}, label int, terms binary")
     found = made.groupBy("key", "label").agg(F.min("terms").alias("terms")).orderBy("key").toArrow()
-    terms = np.frombuffer(b"".join(found["terms"].to_pylist()), "<f4").reshape(-1, WIDTH)
+    terms = np.zeros((found.num_rows, WIDTH), np.float32)
+    for i, value in enumerate(found["terms"]):
+        terms[i] = np.frombuffer(value.as_buffer(), "<f4")
     return Voters(terms, np.array(found["label"].to_pylist(), np.float64))
 
 
