@@ -220,7 +220,8 @@ def _large_groups(pieces: DataFrame, window: int) -> DataFrame:
 
     suffixes = pieces.mapInArrow(run, "h1 long, h2 long, block long, doc int, key long, at int")
     least = suffixes.groupBy("h1", "h2").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
-    late = suffixes.join(least, ["h1", "h2"]).where("key > low")
+    # Written first, so that the join has nothing but shuffles below it and a window in very many documents is split.
+    late = suffixes.join(saved(least, "least"), ["h1", "h2"]).where("key > low")
     return late.select("block", "doc", F.col("at").alias("first"), F.col("at").alias("last"))
 
 
