@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import fresh_path
@@ -42,6 +43,23 @@ def saved(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scanned(docs: DataFrame, *columns: str) -> DataFrame:
+    """``docs`` if it is one scan of Parquet, or else (its ``columns``) written once and scanned: see `place_of`."""
+    if docs._jdf.queryExecution().analyzed().nodeName() == "LogicalRelation":
+        try:
+            docs.select(*place_of(docs))
+            return docs
+        except AnalysisException:  # files of another kind do not number their rows
+            pass
+    return saved(docs.select(*columns) if columns else docs, "rows")
+
+
+def place_of(docs: DataFrame, file: str = "file", row: str = "row") -> tuple[Column, Column]:
+    """A row's file (hash of its path) and number in it; the same in every read of a `scanned` table, and no two rows alike."""
+    at = docs.metadataColumn("_metadata")
+    return F.xxhash64(at["file_path"]).alias(file), at["row_index"].alias(row)
+
+
 def rows(batches: Iterator[pa.RecordBatch], most_bytes: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most_bytes`` at most; a larger row stands alone."""
     for batch in batches:

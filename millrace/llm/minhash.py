@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import documents, rows, saved, whole_text
-from .ngram_join import linked_classes, node_of, point_of
+from .common import documents, rows, saved, scanned, whole_text
+from .ngram_join import component_ids, given_rows, linked_classes, node_of, point_of, set_schema
 from .registry import query
 from .shingles import shingle_set, window_hashes, word_hashes
 
@@ -168,12 +168,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
 
     Texts without words are alone. See `ngram_join.linked_classes` for large groups.
     """
-    docs = docs.select(F.col(key), F.col(text))
+    given = given_rows(scanned(docs, key, text), text, key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows(batches):
             nodes, sizes, points, bands = [], [], [], []
-            for value in batch.column(1).to_pylist():
+            for value in batch.column(4).to_pylist():
                 own = shingle_set(word_hashes(value, fold=True), SHINGLE)
                 sign = (_least(own) >> np.uint64(32)).astype("<u4")
                 cut = range(0, PERMUTATIONS - BAND + 1, BAND)
@@ -182,12 +182,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", pe
                 points.append(point_of(own).tobytes())
                 bands.append([int.from_bytes(hashlib.blake2b(bytes([c]) + sign[c : c + BAND].tobytes(), digest_size=8).digest(), "little", signed=True) for c in cut] if len(own) else [])
             columns = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(points, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["key", "node", "size", "point", "blocks"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], *columns], names=[*batch.schema.names[:4], "node", "size", "point", "blocks"])
 
-    given = docs.select(F.col(key).alias("key"), whole_text(text).alias("text"))
-    kind = given.schema["key"].dataType.simpleString()
-    sets = saved(given.mapInArrow(run, f"key {kind}, node long, size long, point binary, blocks array<long>"), "bands")
-    return linked_classes(docs, sets, SHINGLE, percent, text, key)
+    sets = saved(given.mapInArrow(run, set_schema(given)), "bands")
+    return component_ids(linked_classes(given, sets, SHINGLE, percent), key)
 
 
 @query("op4_minhash")

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import documents, rows, saved, whole_text
+from .common import documents, free_name, place_of, rows, saved, scanned, whole_text
 from .graph import components
 from .registry import query
 from .shingles import shingle_set, word_hashes
@@ -102,16 +102,26 @@ def frequent(docs: DataFrame, n: int, percent: int, text: str) -> np.ndarray:
     return top["token"].to_numpy()[::-1].astype(np.int64).view(_U64)
 
 
-def _sets(docs: DataFrame, heavy: np.ndarray, n: int, percent: int, text: str, key: str) -> DataFrame:
-    """Key, ``node`` (64-bit hash of the set, NULL for an empty one), ``size``, ``point`` and ``blocks`` (prefix shingles) per row."""
+def given_rows(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """Of a `scanned` table ``key``, ``file`` and ``row`` (the row's own place), ``text_hash`` and ``text``."""
+    body = whole_text(text)
+    return docs.select(F.col(key).alias("key"), *place_of(docs), F.xxhash64(body).alias("text_hash"), body.alias("text"))
+
+
+def set_schema(given: DataFrame) -> str:
+    return f"key {given.schema['key'].dataType.simpleString()}, file long, row long, text_hash long, node long, size long, point binary, blocks array<long>"
+
+
+def _sets(given: DataFrame, heavy: np.ndarray, n: int, percent: int) -> DataFrame:
+    """`given_rows` with, for the text, ``node`` (64-bit hash of the set, NULL for an empty one), ``size``, ``point`` and ``blocks`` (prefix shingles)."""
     by_value = np.argsort(heavy)
-    shared = docs.sparkSession.sparkContext.broadcast((heavy[by_value], by_value))
+    shared = given.sparkSession.sparkContext.broadcast((heavy[by_value], by_value))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, place = shared.value
         for batch in rows(batches):
             nodes, sizes, points, prefixes = [], [], [], []
-            for value in batch.column(1).to_pylist():
+            for value in batch.column(4).to_pylist():
                 own = _set(value, n)
                 sizes.append(len(own))
                 if not len(own):
@@ -131,13 +141,11 @@ def _sets(docs: DataFrame, heavy: np.ndarray, n: int, percent: int, text: str, k
                 points.append(point_of(own).tobytes())
                 prefixes.append(prefix.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(points, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
-                names=["key", "node", "size", "point", "blocks"],
+                [*batch.columns[:4], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(points, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))],
+                names=[*batch.schema.names[:4], "node", "size", "point", "blocks"],
             )
 
-    given = docs.select(F.col(key).alias("key"), whole_text(text).alias("text"))
-    kind = given.schema["key"].dataType.simpleString()
-    return given.mapInArrow(run, f"key {kind}, node long, size long, point binary, blocks array<long>")
+    return given.mapInArrow(run, set_schema(given))
 
 
 def node_of(own: np.ndarray) -> int:
@@ -309,21 +317,17 @@ def _block_pairs(chunks: DataFrame, percent: int) -> DataFrame:
     return chunks.mapInArrow(run, "u long, v long").distinct()
 
 
-def _own_sets(docs: DataFrame, wanted: DataFrame, n: int, text: str, key: str) -> DataFrame:
-    """``node`` and its sorted set ``own`` (binary), from the text of one document each; other columns of ``wanted`` stay."""
-    extra = [f for f in wanted.schema.fields if f.name not in ("key", "node")]
-    given = docs.select(F.col(key).alias("key"), whole_text(text).alias("text"))
+def _own_sets(given: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """``node`` and its sorted set ``own`` (binary), from the text of the one row at ``file, row``; other columns of ``wanted`` stay."""
+    extra = [f for f in wanted.schema.fields if f.name not in ("file", "row", "node")]
     # Few wanted sets spare the texts the shuffle; many meet them in a sort-merge join.
     few = wanted.limit(FEW + 1).count() <= FEW
-    given = given.join(F.broadcast(wanted) if few else wanted, "key").select("node", *(f.name for f in extra), "text")
+    given = given.join(F.broadcast(wanted) if few else wanted, ["file", "row"]).select("node", *(f.name for f in extra), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows(batches):
-            made = [_set(t, n) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            # Another text under the same key is not the one meant.
-            keep = pa.array([i for i, own in enumerate(made) if node_of(own) == batch.column(0)[i].as_py()], pa.int64())
-            sets = pa.array([own.astype("<u8").tobytes() for own in made], pa.binary())
-            yield pa.RecordBatch.from_arrays([c.take(keep) for c in (*batch.columns[:-1], sets)], names=[*batch.schema.names[:-1], "own"])
+            sets = pa.array([_set(t, n).astype("<u8").tobytes() for t in batch.column(batch.num_columns - 1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], sets], names=[*batch.schema.names[:-1], "own"])
 
     schema = ", ".join(["node long", *(f"{f.name} {f.dataType.simpleString()}" for f in extra), "own binary"])
     return given.mapInArrow(run, schema)
@@ -333,17 +337,28 @@ def classes(docs: DataFrame, text: str = "text", key: str = "doc_id", n: int = S
     """Key, ``n_shingles`` and ``component_id`` (smallest key reachable by links) of every row.
 
     Empty and NULL texts have no shingles and link with nothing; repeated rows are one document of the class
-    and are all returned. Sets are told apart by 64-bit hashes.
+    and are all returned. Sets are told apart by 64-bit hashes. Rows without a key link like others, and a class
+    of such rows only has no ``component_id``.
     """
-    docs = docs.select(F.col(key), F.col(text))
-    sets = saved(_sets(docs, frequent(docs, n, percent, text), n, percent, text, key), "sets")
-    return linked_classes(docs, sets, n, percent, text, key, ordered=True)
+    return component_ids(_row_classes(scanned(docs, key, text), text, key, n, percent), key)
+
 
+def component_ids(found: DataFrame, key: str) -> DataFrame:
+    return found.select(F.col("key").alias(key), F.col("size").alias("n_shingles"), F.coalesce("first.key", "key").alias("component_id"))
 
-def linked_classes(docs: DataFrame, sets: DataFrame, n: int, percent: int, text: str, key: str, ordered: bool = False) -> DataFrame:
-    """The classes of `classes`, given ``key, node, size, point`` and the ``blocks`` in which a set meets others.
 
-    ``ordered`` blocks are the first shingles of each set in one order of all shingles.
+def _row_classes(docs: DataFrame, text: str, key: str, n: int, percent: int) -> DataFrame:
+    given = given_rows(docs, text, key)
+    sets = saved(_sets(given, frequent(docs, n, percent, text), n, percent), "sets")
+    return linked_classes(given, sets, n, percent, ordered=True)
+
+
+def linked_classes(given: DataFrame, sets: DataFrame, n: int, percent: int, ordered: bool = False) -> DataFrame:
+    """``key, file, row, text_hash, size`` of each row, and as ``first`` the first row of its class.
+
+    That is the row of the smallest key, rows without one last, and then of the first place; a row without
+    shingles has none. ``sets`` has the columns of `set_schema`, where ``blocks`` are those in which a set meets
+    others: if ``ordered``, the first shingles of each set in one order of all shingles.
     """
     filled = sets.where("size > 0")
 
@@ -351,7 +366,8 @@ def linked_classes(docs: DataFrame, sets: DataFrame, n: int, percent: int, text:
     by_token = Window.partitionBy("token")
     met = filled.select("node", F.posexplode("blocks").alias("place", "token")).withColumns({"low": F.min("node").over(by_token), "high": F.max("node").over(by_token)})
     met = saved(met.where("low < high").select("token", "node", F.col("place") if ordered else F.lit(0).alias("place")).distinct(), "met")
-    named = filled.groupBy("node").agg(F.min("key").alias("key"), F.min("size").alias("size"), F.min("point").alias("point"))
+    named = filled.groupBy("node").agg(F.min(F.struct("file", "row")).alias("at"), F.min("size").alias("size"), F.min("point").alias("point"))
+    named = named.select("node", "at.file", "at.row", "size", "point")
     named = saved(named.join(met.select("node").distinct(), "node", "left_semi"), "named")
 
     # Each block names hubs, the node in most blocks and random ones in many; each node takes those that the
@@ -367,8 +383,8 @@ def linked_classes(docs: DataFrame, sets: DataFrame, n: int, percent: int, text:
     load = hubs.groupBy("v").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("salts"))
     spread = hubs.join(load, "v").select(F.col("u").alias("node"), F.struct(F.col("v").alias("hub"), F.pmod(F.xxhash64("u"), "salts").cast("int").alias("salt")).alias("to"))
     self = load.select(F.col("v").alias("node"), F.explode(F.transform(F.sequence(F.lit(0), F.col("salts") - 1), lambda x: F.struct(F.col("v").alias("hub"), x.alias("salt")))).alias("to"))
-    wanted = spread.unionByName(self).groupBy("node").agg(F.collect_set("to").alias("to")).join(named.select("node", "key"), "node")
-    own = saved(_own_sets(docs, saved(wanted, "wanted"), n, text, key), "own")
+    wanted = spread.unionByName(self).groupBy("node").agg(F.collect_set("to").alias("to")).join(named.select("node", "file", "row"), "node")
+    own = saved(_own_sets(given, saved(wanted, "wanted"), n), "own")
     both = own.select("node", F.explode("to").alias("to"), "own").select("to.hub", "to.salt", "node", "own")
     both = both.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.col("node") != F.col("hub"))
     links = saved(_hub_links(both.select("hub", "node", "own"), percent), "links")
@@ -393,16 +409,16 @@ def linked_classes(docs: DataFrame, sets: DataFrame, n: int, percent: int, text:
     chunks = chunks.select("block", "sides", "node", "root", "size", F.col("place").cast("long").alias("place"), "point")
     done = hubs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     pairs = saved(_block_pairs(chunks, percent).join(done, ["u", "v"], "left_anti"), "pairs")
-    ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(named.select("node", "key"), "node")
-    own = saved(_own_sets(docs, saved(ends, "wanted"), n, text, key), "own")
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(named.select("node", "file", "row"), "node")
+    own = saved(_own_sets(given, saved(ends, "wanted"), n), "own")
     more = saved(_verified(pairs, own, percent), "links")
     final = components(links.unionByName(more))
 
-    found = sets.select("key", "size", "node").join(final, "node", "left").withColumn("class", F.coalesce("root", "node"))
-    least = found.where("size > 0").groupBy("class").agg(F.min("key").alias("component"))
-    return found.join(least, "class", "left").select(
-        F.col("key").alias(key), F.col("size").alias("n_shingles"), F.coalesce("component", "key").alias("component_id")
-    )
+    own = ["key", "file", "row", "text_hash"]
+    found = sets.select(*own, "size", "node").join(final, "node", "left").withColumn("class", F.coalesce("root", "node"))
+    least = found.where("size > 0").groupBy("class").agg(F.min(F.struct(F.col("key").isNull().alias("no_key"), *own)).alias("first"))
+    # Written before the join, so that a hot class is split.
+    return found.join(saved(least, "least"), "class", "left").select(*own, "size", "first")
 
 
 def _verified(pairs: DataFrame, own: DataFrame, percent: int) -> DataFrame:
@@ -423,6 +439,15 @@ def op6_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def keep_one_of_class(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: of each class the document with the smallest id stays."""
-    found = classes(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["kept_id"]), "left_semi")
+    """Pipeline stage: of each class the row with the smallest id stays, rows without an id last, and of one id the first.
+
+    Rows of that id with the same text are the same document repeated, and stay with it. Texts without shingles
+    are in no class and stay.
+    """
+    docs = scanned(docs)
+    found = _row_classes(docs, "text", "doc_id", SHINGLE, PERCENT)
+    first, place = F.col("first"), [free_name(docs, c) for c in ("file", "row")]
+    itself = (F.col("file") == first["file"]) & (F.col("row") == first["row"])
+    repeated = (F.col("key") == first["key"]) & (F.col("text_hash") == first["text_hash"])
+    stay = found.where(first.isNull() | itself | repeated).select(F.col("file").alias(place[0]), F.col("row").alias(place[1]))
+    return docs.select("*", *place_of(docs, *place)).join(stay, place, "left_semi").drop(*place)

@@ -206,6 +206,44 @@ def test_ngram_join_repeated_rows_empty_table_and_extra_columns(spark):
     assert ngram_join.classes(cases.empty(spark)).count() == 0
 
 
+def rows_without_own_ids():
+    """Texts under missing and repeated ids; what stays by brute force over rows: the first of each class, with its equal rows."""
+    one, two, three, four = (cases.prose(90 + k, 150) for k in range(4))
+    near = cases.edited
+    given = [(None, one), (None, one), (None, near(one, 70, "q")), (None, near(one, 71, "r"))]  # a class without ids
+    given += [(None, two), (5, near(two, 70, "q")), (7, near(two, 72, "s")), (7, three), (8, near(three, 70, "q"))]  # 7 is in two classes
+    given += [(9, four), (9, four), (9, near(four, 70, "q")), (None, four), (None, None), (None, ""), (6, ""), (6, None)]
+    return given
+
+
+def test_ngram_join_decides_by_row_where_ids_are_missing_or_repeated(spark, tmp_path):
+    given = rows_without_own_ids()
+    roots = cases.classes(list(enumerate(given[i][1] for i in range(len(given)))), 4, 85)
+    members = {r: [i for i in roots if roots[i] == r] for r in roots.values()}
+    assert sorted(map(len, members.values())) == [1, 1, 1, 1, 2, 3, 4, 4]
+    df = spark.createDataFrame(given, "doc_id long, text string")
+    df.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    least = {r: min((given[i][0] for i in own if given[i][0] is not None), default=None) for r, own in members.items()}
+    want = Counter((given[i][0], len(cases.shingles(given[i][1], 4)), least[roots[i]]) for i in roots)
+    for docs in (spark.read.parquet(f"{tmp_path}/documents.parquet"), df.repartition(3)):
+        assert Counter(map(tuple, ngram_join.classes(docs).collect())) == want
+        kept = Counter(map(tuple, ngram_join.keep_one_of_class(spark, docs, "").collect()))
+        for r, own in members.items():
+            rows = Counter(given[i] for i in own)
+            stay = Counter({x: kept[x] for x in rows if kept[x] and cases.words(x[1])})
+            if cases.words(given[r][1]):
+                assert len(stay) == 1 and [i for i, _ in stay] == [least[r]]
+                assert list(stay.values()) == [1 if least[r] is None else rows[next(iter(stay))]]
+        assert sum(n for (_, t), n in kept.items() if not cases.words(t)) == 4
+
+
+def test_ngram_join_verifies_all_links_of_rows_without_ids(spark, near_texts):
+    texts = [t for _, t in near_texts]
+    roots = cases.classes(list(enumerate(texts)), 4, 85)
+    df = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string").repartition(3)
+    assert ngram_join.keep_one_of_class(spark, df, "").count() == len(set(roots.values()))
+
+
 def test_minhash_rows_equal_a_loop(spark, tmp_path):
     given = sorted({r[0]: r[:2] for r in cases.rows()}.values(), reverse=True)
     found = {r.doc_id: r for r in minhash.op4_minhash(spark, cases.folder(spark, tmp_path, spark.createDataFrame(given, "doc_id long, text string"))).collect()}
