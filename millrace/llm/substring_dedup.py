@@ -1,9 +1,10 @@
-"""Removal of repeated word windows with prefix-partitioned suffix trees.
+"""Removal of repeated word windows, grouped by hash and sorted.
 
-The suffixes of a group are those that start a window of ``WINDOW`` words; the
-group's subtree branches every ``STEP`` words, and its internal nodes at the
-depth of a window are the repeats: below such a node every suffix but those of
-the smallest document is a later copy.
+The suffixes of a group are those that start a window of ``WINDOW`` words. They
+are sorted by the hashes of each ``STEP`` words, and equal windows are the
+repeats: of them every suffix but those of the smallest document is a later
+copy. No tree is built, so there are no inner nodes, common-prefix lengths or
+maximal repeats.
 
 Groups. A group must hold all suffixes with one beginning and fit in memory, and
 a suffix should not bring 50 words along for itself alone. Windows are therefore
