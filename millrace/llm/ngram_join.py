@@ -439,8 +439,9 @@ def op6_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def keep_one_of_class(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage, of ``SHINGLE`` words and ``PERCENT`` like the query: of each class the row with the smallest id stays, rows without an id last, and of one id the first.
+    """Pipeline stage: of each class the row with the smallest id stays, rows without an id last, and of one id the first.
 
+    Shingles have ``SHINGLE`` words and links ``PERCENT``, as in the query.
     Rows of that id with the same text are the same document repeated, and stay with it. Texts without shingles
     are in no class and stay.
     """
