@@ -10,7 +10,7 @@ Places. Rows are dealt by ranges of (group, key, leaf, row), so a group or key
 with a third of all rows lies over many partitions; a row's place follows from
 its number in the partition and the sizes of the partitions before.
 
-Subtrees. A superblock is a run of ``FANOUT ** HEIGHT`` nodes of one tree.
+Subtrees. A superblock is a run of ``FANOUT ** height`` nodes of one tree.
 Upwards, each superblock is reduced to its root; these roots are the nodes of
 the next tier, so tiers shrink by a factor of 4,096. Downwards, the nodes of a
 tier and the outer nodes their superblock needs (the siblings on the way from its
@@ -38,7 +38,6 @@ from .common import documents, saved
 from .registry import query
 
 FANOUT, HEIGHT = 8, 4
-BLOCK = FANOUT**HEIGHT
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 
 _NODES = "tree long, pos long, n long, hash string"
@@ -68,10 +67,10 @@ def _hash(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def _layers(hashes: list[str], n: int) -> list[list[str]]:
+def _layers(hashes: list[str], n: int, height: int) -> list[list[str]]:
     """The nodes of a superblock and their parents, level by level, in a tree of ``n`` nodes at the lowest level."""
     layers = [hashes]
-    while n > 1 and len(layers) <= HEIGHT:
+    while n > 1 and len(layers) <= height:
         below = layers[-1]
         layers.append([_hash("".join(below[i : i + FANOUT])) for i in range(0, len(below), FANOUT)])
         n = -(-n // FANOUT)
@@ -103,53 +102,54 @@ def folded(node: str, path: Sequence[tuple[str, str]]) -> str:
     return node
 
 
-def _block() -> Column:
-    return F.expr(f"pos DIV {BLOCK}").alias("block")
+def _block(height: int) -> Column:
+    return F.expr(f"pos DIV {FANOUT**height}").alias("block")
 
 
-def _reduced(nodes: DataFrame) -> DataFrame:
+def _reduced(nodes: DataFrame, height: int) -> DataFrame:
     """The roots of the superblocks, as nodes of the next tier."""
+    size = FANOUT**height
 
     def reduce(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("pos")
         first = group.iloc[0]
-        top = _layers(group["hash"].tolist(), int(first["n"]))[-1][0]
-        return pd.DataFrame([(first["tree"], first["pos"] // BLOCK, -(-first["n"] // BLOCK), top)], columns=["tree", "pos", "n", "hash"])
+        top = _layers(group["hash"].tolist(), int(first["n"]), height)[-1][0]
+        return pd.DataFrame([(first["tree"], first["pos"] // size, -(-first["n"] // size), top)], columns=["tree", "pos", "n", "hash"])
 
-    given = nodes.select("tree", "pos", "n", "hash", _block())
+    given = nodes.select("tree", "pos", "n", "hash", _block(height))
     return given.groupBy("tree", "block").applyInPandas(reduce, _NODES)
 
 
-def _tiers(nodes: DataFrame) -> list[DataFrame]:
+def _tiers(nodes: DataFrame, height: int) -> list[DataFrame]:
     """The given nodes, then tiers of superblock roots; of the last each tree has one node."""
     tiers = [nodes]
     while len(tiers) == 1 or tiers[-1].agg(F.max("n")).first()[0] > 1:
-        tiers.append(saved(_reduced(tiers[-1]), "nodes"))
+        tiers.append(saved(_reduced(tiers[-1], height), "nodes"))
     return tiers
 
 
-def _joined(nodes: DataFrame, outer: DataFrame) -> DataFrame:
+def _joined(nodes: DataFrame, outer: DataFrame, height: int) -> DataFrame:
     """Each node of a tier with all its siblings up to the root; ``outer`` has those of each superblock's root."""
 
     def join(group: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
         group, above = group.sort_values("pos"), above.iloc[0]
-        paths = _paths(_layers(group["hash"].tolist(), int(group["n"].iloc[0])), above)
+        paths = _paths(_layers(group["hash"].tolist(), int(group["n"].iloc[0]), height), above)
         out = group[["tree", "pos", "n", "hash"]].copy()
         out["lefts"] = [[left for left, _ in p] for p in paths]
         out["rights"] = [[right for _, right in p] for p in paths]
         out["subroot"], out["root"] = above["subroot"], above["root"]
         return out
 
-    given = nodes.select("tree", "pos", "n", "hash", _block())
+    given = nodes.select("tree", "pos", "n", "hash", _block(height))
     return given.groupBy("tree", "block").cogroup(outer.groupBy("tree", "block")).applyInPandas(join, _OUTER)
 
 
-def _finished(leaves: DataFrame, outer: DataFrame, proofs: bool) -> DataFrame:
+def _finished(leaves: DataFrame, outer: DataFrame, proofs: bool, height: int) -> DataFrame:
     """`_joined` for the leaves: the proof's digest and the claimed leaf folded to a root."""
 
     def finish(group: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
         group, above = group.sort_values("pos"), above.iloc[0]
-        paths = _paths(_layers(group["hash"].tolist(), int(group["n"].iloc[0])), above)
+        paths = _paths(_layers(group["hash"].tolist(), int(group["n"].iloc[0]), height), above)
         out = group[["key", "grp"]].copy()
         out["leaf"], out["subroot"], out["root"] = group["hash"], above["subroot"], above["root"]
         out["proof_sha256"] = [_hash("".join(left + right for left, right in p)) for p in paths]
@@ -159,7 +159,7 @@ def _finished(leaves: DataFrame, outer: DataFrame, proofs: bool) -> DataFrame:
             out["rights"] = [[right for _, right in p] for p in paths]
         return out
 
-    given = leaves.select("*", _block())
+    given = leaves.select("*", _block(height))
     return given.groupBy("tree", "block").cogroup(outer.groupBy("tree", "block")).applyInPandas(finish, f"{_LEAVES}, {_PROOFS}" if proofs else _LEAVES)
 
 
@@ -170,6 +170,7 @@ def manifest(
     group: str = "lang",
     claimed: Mapping[str, Column] | None = None,
     proofs: bool = False,
+    height: int = HEIGHT,
 ) -> DataFrame:
     """One row per row: ``key``, ``group``, ``leaf``, ``subroot``, ``root``, ``proof_sha256``, ``folded_root``, ``verified``.
 
@@ -190,23 +191,23 @@ def manifest(
     trees = numbered(groups, ("grp",), "trees").select(F.col("grp").alias("of"), "first", "n", F.col("pos").alias("tree"))
     leaves = placed.withColumnRenamed("pos", "place").join(saved(trees, "trees"), F.col("grp").eqNullSafe(F.col("of")))
     leaves = saved(leaves.select("tree", (F.col("place") - F.col("first")).alias("pos"), "n", "hash", "claimed", "key", "grp"), "leaves")
-    done = saved(_proven(leaves, proofs), "manifest") if groups.take(1) else leaves.limit(0).selectExpr(*_empty(proofs))
+    done = saved(_proven(leaves, proofs, height), "manifest") if groups.take(1) else leaves.limit(0).selectExpr(*_empty(proofs))
     names = {"key": F.col("key").cast(docs.schema[key].dataType).alias(key), "grp": F.col("grp").cast(docs.schema[group].dataType).alias(group)}
     return done.select(*(names.get(c, F.col(c)) for c in done.columns), (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
-def _proven(leaves: DataFrame, proofs: bool) -> DataFrame:
-    *tiers, subroots = _tiers(leaves)
+def _proven(leaves: DataFrame, proofs: bool, height: int) -> DataFrame:
+    *tiers, subroots = _tiers(leaves, height)
     n_trees = F.lit(subroots.count()).alias("n")
-    *tops, root = _tiers(subroots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("pos"), n_trees, "hash"))
+    *tops, root = _tiers(subroots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("pos"), n_trees, "hash"), height)
     none = F.array().cast("array<string>")
     outer = root.select("tree", F.col("pos").alias("block"), none.alias("lefts"), none.alias("rights"), F.lit(None).cast("string").alias("subroot"), F.col("hash").alias("root"))
     for nodes in reversed(tops):
-        outer = _lower(saved(_joined(nodes, outer), "outer"), F.col("tree"), F.col("pos"), F.col("subroot"))
+        outer = _lower(saved(_joined(nodes, outer, height), "outer"), F.col("tree"), F.col("pos"), F.col("subroot"))
     outer = _lower(outer, F.col("block"), F.lit(0).cast("long"), F.col("hash"))
     for nodes in reversed(tiers[1:]):
-        outer = _lower(saved(_joined(nodes, outer), "outer"), F.col("tree"), F.col("pos"), F.col("subroot"))
-    return _finished(tiers[0], outer, proofs)
+        outer = _lower(saved(_joined(nodes, outer, height), "outer"), F.col("tree"), F.col("pos"), F.col("subroot"))
+    return _finished(tiers[0], outer, proofs, height)
 
 
 def _lower(nodes: DataFrame, tree: Column, block: Column, subroot: Column) -> DataFrame:
@@ -284,7 +285,12 @@ def lowered(text: Column) -> Column:
 
 @query("op11_merkle_manifest", _SQL)
 def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return _tampered(documents(spark, folder).select(*COLUMNS))
+
+
+def _tampered(docs: DataFrame, height: int = HEIGHT) -> DataFrame:
+    """The manifest, with the leaves of a third of the rows claimed for a text in lower case."""
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
     claimed = {"text": F.when(tampered, lowered(F.col("text"))).otherwise(F.col("text"))}
-    done = manifest(documents(spark, folder).select(*COLUMNS), claimed=claimed)
+    done = manifest(docs, claimed=claimed, height=height)
     return done.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")

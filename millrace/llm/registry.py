@@ -20,4 +20,4 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-from . import byte_bpe, exact_dedup, hmm, line_dedup, merkle, minhash, ngram_join, packing, pii, quality, quality_rules, substring_dedup  # noqa: E402, F401
+from . import byte_bpe, exact_dedup, hmm, line_dedup, merkle, minhash, ngram_join, packing, pii, quality, quality_rules, substring_dedup, token_alignment  # noqa: E402, F401

@@ -277,5 +277,5 @@ def test_near_duplicates_equal_brute_force(spark, near_texts):
 def test_registered_queries_have_sql_or_a_reason():
     from millrace.llm import CHECK_SQL, QUERIES
 
-    assert {re.match(r"op\d+", q)[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
-    assert set(CHECK_SQL) == {"op3_exact_dedup", "op5_substring_dedup", "op8_line_dedup"}
+    assert {re.match(r"op\d+", q)[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
+    assert set(CHECK_SQL) == {"op3_exact_dedup", "op5_substring_dedup", "op8_line_dedup", "op11_merkle_manifest", "op13_quality_rules"}
