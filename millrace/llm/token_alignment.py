@@ -43,7 +43,11 @@ from .registry import query
 
 #: Characters encoded at once; longer texts are cut where no token passes.
 PART = 1 << 16
+#: Entries of a worker's store of B's ids by word, about 100 bytes each; a full store is emptied.
+STORED, LONGEST_STORED = 400_000, 64
 _CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+#: Blanks and the letters behind them, or blanks at the end.
+_WORD = re.compile(" *[^ ]+| +")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 _DIGEST = "n_a long, n_b long, n_groups long, groups_sha256 string, links binary"
@@ -65,6 +69,8 @@ class Pair:
         letters = [_BYTE.fullmatch(p) if self.b.is_byte(i) else None for i, p in enumerate(pieces)]
         self.b_bytes = [bytes([int(m[1], 16)]) if m else p.replace("▁", " ").encode() for m, p in zip(letters, pieces)]
         self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
+        self.blank = [self.b.piece_to_id("▁")]
+        self.stored: dict[str, list[int]] = {}
         self.a_size, self.b_size = (np.array([len(t) for t in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         # A token as it stands in the text of the groups: A's before a token of its group or before B's, B's likewise or at a group's end.
         spelt = [(str(i) + mark).encode() for side, marks in ((self.a_bytes, ",|"), (self.b_bytes, ",;")) for mark in marks for i in range(len(side))]
@@ -80,11 +86,26 @@ class Pair:
             start = border.end()  # the blank itself comes back with the next part
         return [*out, text[start:]]
 
+    def _b_ids(self, part: str) -> list[int]:
+        """B's ids of a part: word by word, as no token holds a letter and a blank behind it."""
+        if not self.cuts:
+            return self.b.encode(part, num_threads=1)
+        words, stored = _WORD.findall(" " + part), self.stored
+        new = set(words).difference(stored)
+        if max(map(len, new), default=0) > LONGEST_STORED:
+            return self.b.encode(part, num_threads=1)
+        if len(stored) + len(new) > STORED:
+            stored.clear()
+            new = set(words)
+        # The model puts a blank before the rest of the word; of a lone blank there is no rest.
+        stored.update((w, self.b.encode(w[1:], num_threads=1) if len(w) > 1 else self.blank) for w in new)
+        return list(itertools.chain.from_iterable(map(stored.__getitem__, words)))
+
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The ids of a blank and the text by A and by B; none if either does not spell it."""
         parts = self._parts(text) if text else []
         a = list(itertools.chain.from_iterable(self.a.encode_ordinary(" " + p) for p in parts))
-        b = list(itertools.chain.from_iterable(self.b.encode(p, num_threads=1) for p in parts))
+        b = list(itertools.chain.from_iterable(map(self._b_ids, parts)))
         whole = (" " + text).encode("utf-8", "surrogatepass")
         if not text or b"".join(map(self.b_bytes.__getitem__, b)) != whole or b"".join(map(self.a_bytes.__getitem__, a)) != whole:
             a = b = []
@@ -127,7 +148,9 @@ def shared_cuts(a_ends: np.ndarray, b_ends: np.ndarray, bounds: np.ndarray) -> n
             np.concatenate([high[open_], where, high[who]]),
             np.concatenate([2 * radius[open_] + 1, np.zeros(2 * len(who), np.int64)]),
         )
-        full = low < high
+        # In the order of the text, so that neighbouring bisections touch neighbouring memory.
+        full = np.flatnonzero(low < high)
+        full = full[np.argsort(low[full], kind="stable")]
         low, high, radius = low[full], high[full], radius[full]
     return np.sort(np.concatenate(found))
 
