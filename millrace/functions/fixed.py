@@ -31,6 +31,27 @@ FLIGHT_COLUMNS = {
 
 # Published yellow-taxi column names and their silver names.
 # Columns that keep their name are not listed.
+TRIP_TYPES = {
+    "VendorID": "int",
+    "tpep_pickup_datetime": "timestamp",
+    "tpep_dropoff_datetime": "timestamp",
+    "passenger_count": "double",
+    "trip_distance": "double",
+    "RatecodeID": "double",
+    "store_and_fwd_flag": "string",
+    "PULocationID": "int",
+    "DOLocationID": "int",
+    "payment_type": "int",
+    "fare_amount": "double",
+    "extra": "double",
+    "mta_tax": "double",
+    "tip_amount": "double",
+    "tolls_amount": "double",
+    "improvement_surcharge": "double",
+    "total_amount": "double",
+    "congestion_surcharge": "double",
+    "airport_fee": "double",
+}
 TRIP_NAMES = {
     "VendorID": "vendor_id",
     "tpep_pickup_datetime": "pickup_datetime",

@@ -7,12 +7,14 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.casts import cast_losses
 from ..functions.columns import in_years, labelled, month_label, month_start, ratio, renamed
 from ..functions.fixed import (
     FORECAST_HOURS,
     PAYMENT_LABELS,
     RATE_LABELS,
     TRIP_NAMES,
+    TRIP_TYPES,
     VENDOR_LABELS,
 )
 from ..operators.forecast import hourly_series, predict
@@ -52,6 +54,18 @@ def good_trips(trips: DataFrame, years: Iterable[int] = (2021, 2022)) -> DataFra
     return trips.where(test)
 
 
+def typed_trips(raw: DataFrame) -> DataFrame:
+    """Known trip columns in their published types; a value that does not parse becomes NULL, other columns stay."""
+    known = {name: kind for name, kind in raw.dtypes if TRIP_TYPES.get(name, kind) != kind}
+    return raw.withColumns({name: F.col(name).try_cast(TRIP_TYPES[name]) for name in known})
+
+
+def trip_losses(raw: DataFrame) -> DataFrame:
+    """One row: per known column that holds text, how many values `typed_trips` turns into NULL."""
+    texts = [name for name, kind in raw.dtypes if kind == "string" and TRIP_TYPES.get(name, "string") != "string"]
+    return cast_losses(raw, {name: TRIP_TYPES[name] for name in texts})
+
+
 def build_tables(
     spark: SparkSession,
     sample: str,
@@ -64,14 +78,16 @@ def build_tables(
 ) -> DataFrame:
     """CSV files to the bronze table and on to the compacted silver table.
 
-    The schema comes from one sample file. Silver is written once, with its
-    labels and without the bad trips, into files that the rebalance step sizes.
+    The schema comes from ``sample``, a file or a folder of files: types are those that hold every value in
+    it. Known columns that turn out as text, because a file holds odd values, are cast on the way to silver;
+    `trip_losses` counts what that loses. Silver is written once, with its labels and without the bad trips,
+    into files that the rebalance step sizes.
     """
     raw = csv_with_schema(spark, folder, inferred_schema(spark, sample))
     drop_table(spark, bronze)
     create_table(raw, bronze, f"{root}/{bronze}-{uuid.uuid4().hex}")
     place = f"{root}/{silver}"
-    trips = good_trips(with_labels(silver_names(spark.table(bronze))), years)
+    trips = good_trips(with_labels(silver_names(typed_trips(spark.table(bronze)))), years)
     return overwrite_table(trips.hint("rebalance"), silver, place)
 
 

@@ -81,10 +81,6 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def first_file(spark: SparkSession, path: str) -> str:
-    return files.inventory(spark, path, "*.csv").orderBy("path").first()["path"]
-
-
 @query(
     "copy_with_casts",
     f"""SELECT flight_date, airline_id, flight_number, raw_year, dep_time, dep_delay, distance FROM ({FLIGHTS_SQL})""",
@@ -251,7 +247,7 @@ def csv_view_scan(spark, folder):
 def csv_infer_scan(spark, folder):
     orders = table(spark, folder, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
     path = write_csv(orders, fresh_path(spark, "csv"))
-    schema = csv.inferred_schema(spark, first_file(spark, path))
+    schema = csv.inferred_schema(spark, path)
     kinds = ",".join(f.dataType.simpleString() for f in schema.fields)
     read = csv.csv_with_schema(spark, path, schema)
     return read.withColumns({"o_orderdate": day_text(F.col("o_orderdate")), "kinds": F.lit(kinds)})
@@ -259,10 +255,10 @@ def csv_infer_scan(spark, folder):
 
 @query("csv_schema_scan", f"SELECT {', '.join(LINE_COLUMNS)}, {sql_day('l_shipdate')} AS l_shipdate FROM lineitem")
 def csv_schema_scan(spark, folder):
-    """Schema from the first file of the folder, applied to the folder."""
+    """Schema from the largest file of the folder, applied to the folder."""
     lines = table(spark, folder, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
     path = write_csv(lines.repartition(4), fresh_path(spark, "csv"))
-    read = csv.csv_with_schema(spark, path, csv.inferred_schema(spark, first_file(spark, path)))
+    read = csv.csv_with_schema(spark, path, csv.inferred_schema(spark, path, files=1))
     return read.withColumn("l_shipdate", day_text(F.col("l_shipdate")))
 
 

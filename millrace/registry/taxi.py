@@ -10,7 +10,6 @@ from ..operators.joins import kept_in
 from ..operators.ranking import busiest, nth_row
 from ..plans import taxi
 from ..session import fresh_name, fresh_path, settled
-from ..sources.files import inventory
 from .base import day_text, query, rounded, sql_day, sql_rounded, sql_time, table, time_text
 
 YEARS = (1996, 1997)
@@ -137,8 +136,7 @@ def taxi_build(spark, folder):
     path = fresh_path(spark, "trips")
     raw_trips(spark, folder).write.option("header", True).csv(path)
     names = {kind: fresh_name(kind) for kind in ("bronze", "silver")}
-    sample = inventory(spark, path, "*.csv").orderBy("path").first()["path"]
-    built = taxi.build_tables(spark, sample, path, fresh_path(spark, "taxi"), years=YEARS, **names)
+    built = taxi.build_tables(spark, path, path, fresh_path(spark, "taxi"), years=YEARS, **names)
     return built.select(
         "trip_order", "trip_line", "vendor_id", time_text(F.col("pickup_datetime")).alias("pickup"), "fare_amount", "tip_amount"
     )

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F, types as T
 
+from ..functions.kinds import column_types
+from ..session import settled
 from .files import binary_files
 
 
-def csv_files(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame:
-    """``path`` and ``uri`` of the CSV files of a folder."""
-    return binary_files(spark, path, pattern).select("path", F.col("_metadata.file_path").alias("uri"))
+def csv_files(spark: SparkSession, path: str, pattern: str = "*.csv", lengths: bool = False) -> DataFrame:
+    """``path`` and ``uri`` of the CSV files of a folder, with ``lengths`` their ``length`` too."""
+    listed = binary_files(spark, path, pattern).select("path", F.col("_metadata.file_path").alias("uri"), "length")
+    return listed if lengths else listed.drop("length")
 
 
 def csv_view(spark: SparkSession, path: str, view: str) -> DataFrame:
@@ -23,11 +26,6 @@ def csv_view(spark: SparkSession, path: str, view: str) -> DataFrame:
     return df
 
 
-def inferred_schema(spark: SparkSession, sample: str) -> T.StructType:
-    """Schema read from one sample file, so that the folder is not read twice."""
-    return spark.read.csv(sample, header=True, inferSchema=True).schema
-
-
 def csv_with_schema(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType, check_header: bool = True
 ) -> DataFrame:
@@ -75,46 +73,52 @@ def with_headers(files: DataFrame) -> DataFrame:
     return spread.mapInArrow(run, "path string, uri string, header array<string>")
 
 
-def files_by_header(files: DataFrame) -> dict[tuple[str, ...], list[str]]:
-    """Paths of a batch of CSV files grouped by their header; the caller bounds the batch."""
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for row in with_headers(files).orderBy("path").collect():
-        groups.setdefault(tuple(row["header"]), []).append(row["path"])
-    return groups
-
+def read_listed(spark: SparkSession, files: DataFrame) -> DataFrame | None:
+    """The CSV files of a listing (``path`` and ``uri``), every column as text, stacked by column name.
 
-def read_header_groups(spark: SparkSession, groups: Mapping[tuple[str, ...], Sequence[str]]) -> DataFrame | None:
-    """Files read by their own header and stacked by column name.
-
-    Every column is text; a column that a file lacks is NULL for its rows.
-    Files without any header have no rows; if there are no others, neither is
-    there a result.
+    The files are read in one scan by position, and each row takes its names from its file's header; a column
+    that a file lacks is NULL for its rows. The paths (the caller bounds the listing) and the column names reach the
+    driver. A file without a header has no rows; if there are no others, neither is there a result.
     """
-    stacked = None
-    for names, paths in groups.items():
-        if not names:
-            continue
-        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-        part = spark.read.schema(schema).option("header", True).csv(list(paths))
-        stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
-    return stacked
+    headers = settled(with_headers(files).where(F.size("header") > 0))
+    paths = [row["path"] for row in headers.select("path").collect()]
+    return _stacked(spark.read, paths, headers) if paths else None
 
 
 def csv_by_header(spark: SparkSession, path: str, pattern: str = "*.csv") -> DataFrame | None:
-    """CSV folder whose files differ in column order or columns.
+    """CSV folder whose files differ in column order or columns, as `read_listed` reads them.
 
-    The folder is read once by position, and each row takes its names from its
-    file's header. Only the column names reach the driver.
+    Only the column names reach the driver.
     """
-    headers = with_headers(csv_files(spark, path, pattern)).where(F.size("header") > 0).select("uri", "header")
+    headers = with_headers(csv_files(spark, path, pattern)).where(F.size("header") > 0)
+    return _stacked(spark.read.option("pathGlobFilter", pattern), path, headers)
+
+
+def _stacked(reader: DataFrameReader, paths: str | Sequence[str], headers: DataFrame) -> DataFrame | None:
+    headers = headers.select("uri", "header")
     names = headers.select(F.posexplode("header").alias("pos", "name")).groupBy("name").agg(F.min("pos").alias("pos"))
     names = [row["name"] for row in names.orderBy("pos", "name").collect()]
     if not names:
         return None
     schema = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names))])
-    reader = spark.read.schema(schema).option("header", True).option("pathGlobFilter", pattern)
-    rows = reader.csv(path).select(F.array(*schema.names).alias("_cells"), F.col("_metadata.file_path").alias("uri"))
-    met = rows.join(headers, "uri")
+    rows = reader.schema(schema).option("header", True).csv(paths)
+    met = rows.select(F.array(*schema.names).alias("_cells"), F.col("_metadata.file_path").alias("uri")).join(headers, "uri")
     place = lambda name: F.array_position("header", F.lit(name)).cast("int")
     cell = lambda name: F.when(place(name) > 0, F.get("_cells", place(name) - 1))
     return met.select(*(cell(name).alias(name) for name in names))
+
+
+def inferred_schema(spark: SparkSession, path: str, pattern: str = "*.csv", files: int | None = None) -> T.StructType:
+    """Names and types of a CSV file, or of all CSV files of a folder, each read by its own header.
+
+    With ``files`` only that many of the largest files are read; without, all of them. A column is named and
+    placed as in the first header that has it. Without a single row there is nothing to infer from: that is
+    an error, as a schema of text would pass for one.
+    """
+    listed = csv_files(spark, path, pattern, lengths=True)
+    if files is not None:
+        listed = listed.orderBy(F.desc("length"), "path").limit(files)
+    texts = read_listed(spark, listed)
+    if texts is None or texts.isEmpty():
+        raise ValueError(f"no CSV file with rows to infer a schema from: {path}")
+    return T.StructType([T.StructField(name, T.DataType.fromDDL(kind)) for name, kind in column_types(texts).items()])

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.casts import cast_columns
-from ..sources.csv import files_by_header, read_header_groups
+from ..sources.csv import read_listed
 from ..sources.tables import create_empty_table
 
 FILES_PER_BATCH = 10_000
@@ -47,7 +47,7 @@ def copy_new_files(
     )
 
     def load(batch: DataFrame, number: int) -> None:
-        rows = read_header_groups(batch.sparkSession, files_by_header(batch))
+        rows = read_listed(batch.sparkSession, batch)
         if rows is None:
             return
         wanted = dict(columns)

@@ -252,3 +252,49 @@ def test_flights_end_to_end(spark, tmp_path):
     assert (tmp_path / "z" / "Year=2020").is_dir()
     packed = tables.compact(spark, path, str(tmp_path / "packed"), partition_by="Year")
     assert (tmp_path / "packed" / "Year=2021").is_dir() and spark.read.parquet(packed).count() == 4
+
+
+def test_schema_comes_from_all_files_and_skips_those_without_rows(spark, tmp_path):
+    names = "a,b,c,d,e,f,g,h"
+    drop_file(tmp_path / "in", "0.csv", names + "\n")
+    drop_file(tmp_path / "in", "1.csv", names + "\n1,7,2024-01-05,true,007,1.5,2024-01-05,\n")
+    drop_file(tmp_path / "in", "2.csv", "b,a,c,d,e,f,g,h\n12345678901,2,2024-1-5 10:00:00,FALSE,12345678901234567890123,7,x,\n")
+    drop_file(tmp_path / "in", "3.csv", names + "\n,,,,,,,\n")
+    schema = csv.inferred_schema(spark, str(tmp_path / "in"))
+    assert [(f.name, f.dataType.simpleString()) for f in schema] == [
+        ("a", "int"), ("b", "bigint"), ("c", "timestamp"), ("d", "boolean"),
+        ("e", "decimal(23,0)"), ("f", "double"), ("g", "string"), ("h", "string"),
+    ]
+    one = csv.inferred_schema(spark, str(tmp_path / "in"), files=1)
+    assert dict((f.name, f.dataType.simpleString()) for f in one)["b"] == "bigint"
+
+
+@pytest.mark.parametrize("text", ["", "a,b\n", "\n\n"])
+def test_a_sample_without_rows_is_refused(spark, tmp_path, text):
+    drop_file(tmp_path / "in", "0.csv", text)
+    with pytest.raises(ValueError, match="no CSV file with rows"):
+        csv.inferred_schema(spark, str(tmp_path / "in" / "0.csv"))
+
+
+def test_inferred_types_read_every_value(spark, tmp_path):
+    """What the types promise, the reader keeps: no value of a file is lost under the inferred schema."""
+    cells = ["1", "+2", "-3", "2147483648", "99999999999999999999", "1e3", ".5", "5.", "NaN", "1_0", "0x1", " 1", "1d", "inf",
+             "2024-02-30", "2024-02-29", "2024-2-9", "2024-02-29T01:02:03", "2024-02-29 25:00:00", "2024", "TRUE", "yes"]
+    for i, cell in enumerate(cells):
+        for j, other in enumerate(cells):
+            drop_file(tmp_path / f"in{i}", f"{j}.csv", f"k,v\n1,{cell}\n2,{other}\n")
+    for i in range(len(cells)):
+        for j in (i, (i + 1) % len(cells), (i + 7) % len(cells)):
+            path = str(tmp_path / f"in{i}" / f"{j}.csv")
+            assert csv.csv_with_schema(spark, path, csv.inferred_schema(spark, path)).where("v IS NULL").count() == 0, (cells[i], cells[j])
+
+
+def test_types_widen_along_the_lattice():
+    from millrace.functions.kinds import widened
+
+    assert [widened(a, b) for a, b in [("int", "bigint"), ("bigint", "decimal(5,0)"), ("decimal(23,0)", "int"), ("decimal(20,0)", "decimal(22,0)")]] == [
+        "bigint", "decimal(19,0)", "decimal(23,0)", "decimal(22,0)",
+    ]
+    assert [widened(a, b) for a, b in [("decimal(20,0)", "double"), ("date", "timestamp"), ("date", "int"), ("boolean", "boolean"), ("array<int>", "int")]] == [
+        "double", "timestamp", "string", "boolean", "string",
+    ]

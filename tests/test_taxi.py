@@ -46,3 +46,17 @@ def test_csv_to_silver_to_reports(spark, tmp_path):
     assert revenue == {"CMTech": 41.0, "Verifone": 20.5}
     assert [tuple(r) for r in taxi.median_fare_per_mile(trips).collect()] == [("2022-01", 7, 10.25)]
     assert taxi.revenue_forecast(trips, hours=24).count() == 2 + 24
+
+
+def test_odd_values_in_known_columns_become_null(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "0.csv").write_text(HEADER + "\n")
+    (folder / "a.csv").write_text(
+        "\n".join([HEADER, trip(1, "2022-01-01 00:10:00", "10.5"), trip("one", "2022-01-01 00:50:00", "20.5"), trip(2, "2022-01-01 00:50:00", "free")]) + "\n"
+    )
+    names = {"bronze": fresh_name("bronze"), "silver": fresh_name("silver")}
+    trips = taxi.build_tables(spark, str(folder), str(folder), str(tmp_path / "tables"), **names)
+    assert sorted((r.vendor_id, r.fare_amount) for r in trips.collect()) == [("CMTech", 10.5), ("Verifone", 20.5)]
+    losses = taxi.trip_losses(spark.table(names["bronze"])).first().asDict()
+    assert losses == {"VendorID": 1, "fare_amount": 1, "total_amount": 1, "airport_fee": 0}
