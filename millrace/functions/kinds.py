@@ -44,11 +44,14 @@ def digits(text: Column) -> Column:
 def kind_bit(text: Column) -> Column:
     """The place of the value's smallest kind in ``KINDS`` as a bit; 0 for NULL and empty text."""
     bit = {kind: F.lit(1 << i) for i, kind in enumerate(KINDS)}
+    # A cast that fails costs a Java exception, so patterns and lengths decide what can be decided without one.
+    small, large = text.try_cast("bigint"), text.try_cast("decimal(38,0)")
+    is_int, is_bigint = (lambda n, m=m: n.between(-m, m - 1) for m in (1 << 31, 1 << 63))
     whole = (
-        F.when(text.try_cast("int").isNotNull(), bit["int"])
-        .when(text.try_cast("bigint").isNotNull(), bit["bigint"])
-        .when(digits(text) <= MOST_DIGITS, bit["decimal"])
-        .otherwise(bit["double"])
+        F.when(F.length(text) <= 9, bit["int"])
+        .when(F.length(text) <= 18, F.when(is_int(small), bit["int"]).otherwise(bit["bigint"]))
+        .when(digits(text) > MOST_DIGITS, bit["double"])
+        .otherwise(F.when(is_int(large), bit["int"]).when(is_bigint(large), bit["bigint"]).otherwise(bit["decimal"]))
     )
     return (
         F.when(text.isNull() | (text == ""), F.lit(0))
@@ -67,18 +70,20 @@ def _type(bits: int, most_digits: int) -> str:
     return f"decimal({most_digits},0)" if kind == "decimal" else kind
 
 
-def column_types(texts: DataFrame, names: Iterable[str] | None = None) -> dict[str, str]:
-    """The type of each column of text, ``string`` for columns without any value; one pass and one row for the driver."""
+def column_types(texts: DataFrame, names: Iterable[str] | None = None, empty: str | None = "string") -> dict[str, str | None]:
+    """The type of each column of text, ``empty`` for columns without any value; one pass, and one row a column for the driver."""
     chosen = list(texts.columns if names is None else names)
     if not chosen:
         return {}
-    cells = {name: F.col(f"`{name}`") for name in chosen}
-    bits = [F.bit_or(kind_bit(cell)).alias(f"bits{i}") for i, cell in enumerate(cells.values())]
+    # One expression over (column, cell) rows: side by side, the tests of many columns would be too long a method to compile.
+    cells = texts.select(F.posexplode(F.array(*(F.col(f"`{name}`") for name in chosen))).alias("place", "cell")).where("cell <> ''")
     # Only numbers that no bigint holds make a decimal, and these have 19 digits at least.
-    long = [(F.length(cell) >= 19) & cell.rlike(_WHOLE) for cell in cells.values()]
-    sizes = [F.max(F.when(test, digits(cell))).alias(f"digits{i}") for i, (test, cell) in enumerate(zip(long, cells.values()))]
-    row = texts.agg(*bits, *sizes).first()
-    return {name: _type(row[f"bits{i}"] or 0, row[f"digits{i}"] or 1) for i, name in enumerate(chosen)}
+    long = (F.length("cell") >= 19) & F.col("cell").rlike(_WHOLE)
+    found = cells.groupBy("place").agg(
+        F.bit_or(kind_bit(F.col("cell"))).alias("bits"), F.max(F.when(long, digits(F.col("cell")))).alias("most")
+    )
+    types = {chosen[row["place"]]: _type(row["bits"], row["most"] or 1) for row in found.collect()}
+    return {name: types.get(name, empty) for name in chosen}
 
 
 def widened(old: str, new: str) -> str:

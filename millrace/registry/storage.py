@@ -13,8 +13,8 @@ from ..functions.columns import last_segment, path_id, slug
 from ..functions.fixed import FLIGHT_COLUMNS
 from ..plans import flights as plan
 from ..session import fresh_name, fresh_path
-from ..sources import csv, files, tables
-from ..streaming.incremental import copy_new_files, loaded
+from ..sources import csv, files, layout, tables
+from ..streaming.incremental import copy_new_files, loaded, merge_new_files
 from .base import day_text, query, sql_day, sql_time, table, time_text
 
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
@@ -142,6 +142,28 @@ def schema_merge_load(spark, folder):
     return whole(loaded(spark, target, kinds, evolve=True))
 
 
+@query(
+    "schema_merge_table",
+    f"""SELECT * REPLACE (CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS o_orderpriority),
+               CASE o_orderstatus WHEN 'O' THEN CAST(o_orderkey % 10 AS DOUBLE) WHEN 'P' THEN o_totalprice END AS surcharge,
+               'double' AS kind FROM ({ORDERS_SQL})""",
+)
+def schema_merge_table(spark, folder):
+    """Three layouts, one after the other, merged into a catalog table: a column appears as a whole number and
+    widens to a double, another appears in the last layout."""
+    orders = table(spark, folder, "orders")
+    source, root, progress, name = (*(fresh_path(spark, p) for p in ("drops", "merged", "progress")), fresh_name("merged"))
+    kinds = {c: kind for c, kind in orders.dtypes if c != "o_orderpriority"}
+    names = list(kinds)
+    whole_number, price = (F.col("o_orderkey") % 10).alias("surcharge"), F.col("o_totalprice").alias("surcharge")
+    layouts = {"F": names, "O": [whole_number, *names[::-1]], "P": [*names[:2], "o_orderpriority", *names[2:], price]}
+    for status, columns in layouts.items():
+        write_csv(orders.where(F.col("o_orderstatus") == status).select(*columns), source)
+        merge_new_files(spark, source, name, root, progress, kinds)
+    merged = spark.table(name)
+    return whole(merged.drop("_batch")).withColumn("kind", F.lit(dict(merged.dtypes)["surcharge"]))
+
+
 @query(
     "clean_fact",
     f"""SELECT flight_date AS FlightDate, CAST(year(CAST(flight_date AS DATE)) AS INTEGER) AS Year,
@@ -210,6 +232,43 @@ def compact_table(spark, folder):
     return whole(packed).withColumn("n_files", F.lit(file_spans(packed, "l_orderkey").count()))
 
 
+@query(
+    "cluster_curve",
+    f"SELECT *, true AS second_column_gains, true AS both_below_plain FROM ({LINES_SQL})",
+)
+def cluster_curve(spark, folder):
+    """Rows clustered on two columns, compared by the files a filter on one value must read with clustering on the
+    first column alone (on the second column) and with no clustering (on both)."""
+    lines, columns = table(spark, folder, "lineitem"), ["l_suppkey", "l_partkey"]
+    plain = tables.read_path(spark, tables.write_path(lines.repartition(64), fresh_path(spark, "plain")))
+    single = tables.read_path(spark, tables.cluster(lines, columns[0], fresh_path(spark, "single"), 64))
+    both = tables.read_path(spark, layout.cluster_by_curve(lines, columns, fresh_path(spark, "curve"), 64))
+    needed = {name: [layout.files_for_point(t, c) for c in columns] for name, t in (("plain", plain), ("single", single), ("both", both))}
+    gains = needed["both"][1] < needed["single"][1]
+    below = all(a < b for a, b in zip(needed["both"], needed["plain"]))
+    return whole(both).withColumns({"second_column_gains": F.lit(gains), "both_below_plain": F.lit(below)})
+
+
+@query(
+    "compact_small",
+    f"""SELECT *, true AS full_files_stay, true AS fewer_files FROM ({LINES_SQL})""",
+)
+def compact_small(spark, folder):
+    """A table of partitions, of which some hold one large file and some many small ones, after compaction of these."""
+    lines = table(spark, folder, "lineitem")
+    source = fresh_path(spark, "mixed")
+    lines.where("l_returnflag = 'N'").coalesce(1).write.partitionBy("l_returnflag").parquet(source)
+    lines.where("l_returnflag <> 'N'").repartition(24).write.mode("append").partitionBy("l_returnflag").parquet(source)
+    sizes = files.inventory(spark, source, "*.parquet")
+    largest = sizes.agg(F.max("length")).first()[0]
+    stay, new = layout.compact_small_files(spark, source, fresh_path(spark, "packed"), largest)
+    full = {r["path"] for r in sizes.where(F.col("length") == largest).collect()}
+    n_new = files.inventory(spark, new, "*.parquet").count() if new else 0
+    done = whole(layout.compacted(spark, source, stay, new).select(lines.columns))
+    fewer = len(stay) + n_new <= max(4, sizes.count() // 4)
+    return done.withColumns({"full_files_stay": F.lit(full <= set(stay)), "fewer_files": F.lit(fewer)})
+
+
 @query(
     "empty_typed_table",
     f"""SELECT raw_year AS Year, count(*) AS n, count(dep_time) AS n_dep_time, sum(arr_delay) AS delay

@@ -111,6 +111,29 @@ def overwrite_table(df: DataFrame, name: str, root: str, partition_by: str | Non
     return spark.table(name)
 
 
+def evolve_table(spark: SparkSession, name: str, root: str, columns: Mapping[str, str], partition_by: str) -> None:
+    """Give a partitioned catalog table further columns, and existing ones wider types.
+
+    New columns are added to the catalog alone; the rows that are there have NULL in them. A wider type rewrites
+    the rows below ``root``, as files keep the type they were written with; types widen a few times at most.
+    """
+    held = {c.lower(): kind for c, kind in spark.table(name).dtypes}
+    fresh = {c: kind for c, kind in columns.items() if c.lower() not in held}
+    wider = {c: kind for c, kind in columns.items() if held.get(c.lower(), kind) != kind}
+    if fresh:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{c}` {kind}' for c, kind in fresh.items())})")
+    if not wider:
+        return
+    rows = spark.table(name)
+    rows = rows.withColumns({c: F.col(f"`{c}`").try_cast(kind) for c, kind in wider.items()})
+    if rows.isEmpty():
+        drop_table(spark, name)
+        kinds = dict(rows.dtypes)
+        create_empty_table(spark, name, kinds, f"{root.rstrip('/')}/{uuid.uuid4().hex}", partition_by)
+    else:
+        overwrite_table(rows, name, root, partition_by)
+
+
 def files_needed(spark: SparkSession, path: str, file_bytes: int = FILE_BYTES) -> int:
     """Files of about ``file_bytes`` that hold the data files below ``path``."""
     total = inventory(spark, path, "*.parquet").agg(F.sum("length")).first()[0] or 0
