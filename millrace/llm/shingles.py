@@ -6,8 +6,11 @@ import numpy as np
 import xxhash
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-#: Bytes hashed at once. A longer word is hashed by itself, by another function.
+#: Bytes hashed at once.
 PIECE = 1 << 20
+#: Words of more bytes are hashed one by one, by another function: sums of powers modulo 2^64 are alike for some
+#: long words that repeat two parts in the order of the Thue-Morse sequence.
+SHORT = 32
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
@@ -47,7 +50,14 @@ def _piece_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     power, inverse = _powers(n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_LETTER[raw] * power[:n], out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64)), starts, ends
+    hashes = mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    for i in np.flatnonzero(ends - starts > SHORT):
+        hashes[i] = _long_word(raw[starts[i] : ends[i]])
+    return hashes, starts, ends
+
+
+def _long_word(raw: np.ndarray) -> np.uint64:
+    return np.uint64(xxhash.xxh3_64_intdigest(raw.tobytes()))
 
 
 def byte_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -63,7 +73,7 @@ def byte_words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             if not len(blanks):  # a word that fills the piece
                 while stop < len(whole) and not _BLANK[whole[stop]]:
                     stop += 1
-                value = np.array([xxhash.xxh3_64_intdigest(raw[at:stop])], np.uint64)
+                value = np.array([_long_word(whole[at:stop])], np.uint64)
                 out.append((value, np.array([at]), np.array([stop])))
                 at = stop
                 continue

@@ -1,6 +1,7 @@
 """Small tables with the odd rows that every operator must take."""
 
 import re
+import zlib
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -96,3 +97,7 @@ def classes(given: list[tuple[int, str | None]], n: int, percent: int) -> dict[i
                 u, v = sorted((top(a), top(b)))
                 root[v] = u
     return {i: top(i) for i in root}
+
+
+def held_out_of_seven(key: int) -> bool:
+    return zlib.crc32(str(key).encode()) % 7 == 2
