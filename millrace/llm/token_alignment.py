@@ -16,7 +16,7 @@ are summed per task, then by Spark. The links of all texts are written once and
 
 Long texts are encoded in parts that no token crosses: B's model has no piece
 with a blank behind another letter, which is checked when it is loaded, so a part
-may end before a blank that follows a letter. Memory is bounded by a batch of 4 MB of text or
+may end before a blank that follows a letter. Memory is bounded by a batch of 1 MB of text or
 by the longest text.
 
 Defined cases: texts that are NULL, empty, or whose tokens of either side do not spell a
@@ -44,7 +44,9 @@ from .registry import query
 #: Characters encoded at once; longer texts are cut where no token passes.
 PART = 1 << 16
 #: Entries of a worker's store of B's ids by word, about 100 bytes each; a full store is emptied.
-STORED, LONGEST_STORED = 400_000, 64
+STORED, LONGEST_STORED = 200_000, 64
+#: Bytes of text aligned at once; a worker holds some eighty times as much.
+BATCH = 1 << 20
 _CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 #: Blanks and the letters behind them, or blanks at the end.
 _WORD = re.compile(" *[^ ]+| +")
@@ -214,7 +216,7 @@ def _over_texts(docs: DataFrame, a_path: str, b_path: str, text: str, key: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = tokenizers(*shared.value)
-        for batch in rows(batches, 4 << 20):
+        for batch in rows(batches, BATCH):
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns(Aligned(pair, batch.column(1).to_pylist()))], names=names)
 
     given = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
