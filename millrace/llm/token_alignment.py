@@ -43,7 +43,7 @@ from .registry import query
 
 #: Characters encoded at once; longer texts are cut where no token passes.
 PART = 1 << 16
-#: Entries of a worker's store of B's ids by word, about 100 bytes each; a full store is emptied.
+#: Entries of each of the two generations of a worker's store of B's ids by word, about 100 bytes each.
 STORED, LONGEST_STORED = 200_000, 64
 #: Bytes of text aligned at once; a worker holds some eighty times as much.
 BATCH = 1 << 20
@@ -72,7 +72,8 @@ class Pair:
         self.b_bytes = [bytes([int(m[1], 16)]) if m else p.replace("▁", " ").encode() for m, p in zip(letters, pieces)]
         self.cuts = not any(re.search("[^▁]▁", p) for p in pieces)
         self.blank = [self.b.piece_to_id("▁")]
-        self.stored: dict[str, list[int]] = {}
+        self.young: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
         self.a_size, self.b_size = (np.array([len(t) for t in side], np.int64) for side in (self.a_bytes, self.b_bytes))
         # A token as it stands in the text of the groups: A's before a token of its group or before B's, B's likewise or at a group's end.
         spelt = [(str(i) + mark).encode() for side, marks in ((self.a_bytes, ",|"), (self.b_bytes, ",;")) for mark in marks for i in range(len(side))]
@@ -92,16 +93,19 @@ class Pair:
         """B's ids of a part: word by word, as no token holds a letter and a blank behind it."""
         if not self.cuts:
             return self.b.encode(part, num_threads=1)
-        words, stored = _WORD.findall(" " + part), self.stored
-        new = set(words).difference(stored)
+        words = _WORD.findall(" " + part)
+        if len(self.young) > STORED:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        missing = set(words).difference(young)
+        known = missing.intersection(old)
+        new = missing - known
         if max(map(len, new), default=0) > LONGEST_STORED:
             return self.b.encode(part, num_threads=1)
-        if len(stored) + len(new) > STORED:
-            stored.clear()
-            new = set(words)
+        young.update((w, old[w]) for w in known)
         # The model puts a blank before the rest of the word; of a lone blank there is no rest.
-        stored.update((w, self.b.encode(w[1:], num_threads=1) if len(w) > 1 else self.blank) for w in new)
-        return list(itertools.chain.from_iterable(map(stored.__getitem__, words)))
+        young.update((w, self.b.encode(w[1:], num_threads=1) if len(w) > 1 else self.blank) for w in new)
+        return list(itertools.chain.from_iterable(map(young.__getitem__, words)))
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The ids of a blank and the text by A and by B; none if either does not spell it."""
