@@ -98,7 +98,7 @@ class Pair:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
         missing = set(words).difference(young)
-        known = missing.intersection(old)
+        known = {w for w in missing if w in old}  # intersection() would walk through the whole store
         new = missing - known
         if max(map(len, new), default=0) > LONGEST_STORED:
             return self.b.encode(part, num_threads=1)
