@@ -279,3 +279,42 @@ def test_registered_queries_have_sql_or_a_reason():
 
     assert {re.match(r"op\d+", q)[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(CHECK_SQL) == {"op3_exact_dedup", "op5_substring_dedup", "op8_line_dedup", "op11_merkle_manifest", "op13_quality_rules"}
+
+
+def brute_runs(given, min_lines, min_chars):
+    """Line numbers that a run of lines with an earlier copy covers, all lengths tried; rows without a key come last."""
+    seqs = sorted({(i is None, i or 0, t) for i, t in given})
+    filled = {k: [(n, x) for n, x in enumerate(k[2].split("\n")) if cases.WORD.search(x)] for k in seqs}
+    order = [k for k in seqs if not k[0]] + sorted((k for k in seqs if k[0]), key=lambda k: k[2])
+    seen, gone = set(), {}
+    longest = max(map(len, filled.values()), default=0)
+    for size in range(1, longest + 1):
+        for k in order:
+            for p in range(len(filled[k]) - size + 1):
+                run = tuple(x for _, x in filled[k][p : p + size])
+                if run in seen and (size >= min_lines or (size == 1 and len(run[0]) >= min_chars)):
+                    gone.setdefault(k, set()).update(n for n, _ in filled[k][p : p + size])
+                seen.add(run)
+    return {(None if k[0] else k[1], k[2]): v for k, v in gone.items()}
+
+
+@pytest.mark.parametrize("min_lines", [2, 3, 5])
+def test_line_dedup_equals_all_lengths_tried(spark, min_lines):
+    letters = [cases.prose(k, 30).replace(" ", "") for k in range(3)]
+    picks = [letters[0][i : i + 40] for i in range(4)]
+    given = [(k, "\n".join("abcd"[(k * k * i + i // 3 + k) % 4] if i % 5 else picks[(i + k) % 4] for i in range(4 + 5 * k))) for k in range(9)]
+    given += [(20, given[8][1]), (21, given[8][1] + "\n\n \nz"), (22, "z\n" * 33), (23, ""), (24, "y\n" * 65)]
+    df = spark.createDataFrame([(i, t) for i, t in given], "doc_id long, text string").repartition(5)
+    done = line_dedup.without_copies(df, min_lines=min_lines)
+    want = brute_runs(given, min_lines, line_dedup.MIN_CHARS)
+    for r in done.collect():
+        gone = want.get((r.row.doc_id, r.row.text), set())
+        assert r.n_removed == len(gone)
+        assert r.new_text == "\n".join(x for n, x in enumerate(r.row.text.split("\n")) if n not in gone)
+
+
+def test_line_dedup_rows_without_a_key_lose_to_those_with_one(spark):
+    line = "a line that is long enough to count"
+    df = spark.createDataFrame([(None, line + "\nown"), (None, line + "\nown"), (5, line), (None, None)], "doc_id long, text string")
+    found = sorted((r.row.doc_id or 0, r.new_text) for r in line_dedup.without_copies(df).collect())
+    assert found == [(0, ""), (0, "own"), (0, "own"), (5, line)]
