@@ -27,6 +27,8 @@ from .registry import query
 
 #: Rows of one digest that are compared with a copy of the kept row in one place.
 GROUP = 1000
+#: Bytes of files of one micro-batch, so that a run that is lost goes on behind its last whole batch.
+BATCH_BYTES = 1 << 40
 _STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": _STORE,
@@ -58,9 +60,11 @@ def _order() -> Column:
 
 
 def keep_state(spark: SparkSession, path: str, checkpoint: str, text: str = "text", key: str = "doc_id",
-               digest: Callable[[Column], Column] = sha256_of) -> DataFrame:
+               digest: Callable[[Column], Column] = sha256_of, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """The state after all files of ``path``: ``digest``, ``n`` and ``best`` (order values of the row to keep).
 
+    A micro-batch takes files of ``batch_bytes`` in sum (at least one file).
+
     Each micro-batch writes the groups it changed into its own folder, so a repeated batch replaces itself;
     numbers only grow and orders only fall, so the latest of a digest is read off by two aggregates.
     """
@@ -76,7 +80,8 @@ def keep_state(spark: SparkSession, path: str, checkpoint: str, text: str = "tex
         # A pattern, here of the one name, makes a folder of files and a single file alike a source of files.
         path = path.rstrip("/")
         pattern = f"{path[:-1]}[{path[-1]}]"
-        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(pattern)
+        reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxBytesPerTrigger", batch_bytes)
+        stream = reader.parquet(pattern)
         groups = _rows(stream, text, key, digest).groupBy("digest").agg(F.count("*").alias("n"), F.min(_order()).alias("best"))
         writer = groups.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{checkpoint}/stream")
         writer.trigger(availableNow=True).start().awaitTermination()
@@ -95,7 +100,8 @@ def classes(spark: SparkSession, path: str, checkpoint: str | None = None, text:
     identifier the first by locator is kept, so exactly one row of a group is.
     """
     checkpoint = checkpoint or fresh_path(spark, "stream")
-    state = keep_state(spark, path, checkpoint, text, key, digest)
+    # Written before the joins, which then have nothing but shuffles below them, so that a hot digest is split.
+    state = saved(keep_state(spark, path, checkpoint, text, key, digest), "state")
     rows = _rows(spark.read.parquet(path), text, key, digest)
     shared = state.where("n > 1")
 
@@ -117,7 +123,7 @@ def _answer(slim: DataFrame, state: DataFrame, other: DataFrame) -> DataFrame:
     groups = other.groupBy("digest", "norm").agg(F.count("*").alias("own_n"), F.min(_order()).alias("own_best"))
     moved = other.join(groups, ["digest", "norm"]).select(F.col("at").alias("moved_at"), F.col("digest").alias("moved_digest"), "own_n", "own_best")
     fewer = other.groupBy("digest").agg(F.count("*").alias("gone"))
-    whole = state.join(fewer, "digest", "left").select("digest", (F.col("n") - F.coalesce("gone", F.lit(0))).alias("n"), "best")
+    whole = saved(state.join(fewer, "digest", "left").select("digest", (F.col("n") - F.coalesce("gone", F.lit(0))).alias("n"), "best"), "whole")
     met = slim.join(whole, "digest").join(moved, (F.col("at") == F.col("moved_at")) & (F.col("digest") == F.col("moved_digest")), "left")
     best = F.coalesce("own_best", "best")
     return met.select(

@@ -103,6 +103,16 @@ def test_exact_dedup_empty_table(spark, tmp_path):
     assert exact_dedup.op3_exact_dedup(spark, folder).count() == 0
 
 
+def test_exact_dedup_in_many_micro_batches(spark, tmp_path):
+    folder = cases.folder(spark, tmp_path, cases.table(spark).repartition(6))
+    path = f"{folder}/documents.parquet"
+    checkpoint = str(tmp_path / "stream")
+    state = exact_dedup.keep_state(spark, path, checkpoint, batch_bytes=1)
+    want = exact_dedup.keep_state(spark, path, str(tmp_path / "other"))
+    assert len(list((tmp_path / "stream" / "changes").glob("batch=*"))) > 1
+    assert sorted(map(str, state.collect())) == sorted(map(str, want.collect()))
+
+
 def test_line_dedup_equals_its_sql(spark, tmp_path):
     rows = distinct_rows()
     folder = cases.folder(spark, tmp_path, spark.createDataFrame(rows, cases.SCHEMA))
