@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .columns import day_shift, hash_number
 from .fixed import ENTITY_PATTERNS
+from .surrogates import number_surrogate
 
 MARK = "\u0001"
 SENTENCE_BREAK = r"[.!?]\s+"
@@ -161,9 +162,14 @@ def masked(text: Column) -> Column:
     return F.when(text.rlike(ENTITY_HINT), out).otherwise(text)
 
 
-def _surrogate(entity: Column, subject: Column) -> Column:
-    number = hash_number(entity)
+def _surrogate(entity: Column, subject: Column, key: str | None) -> Column:
     label = label_of(entity)
+    hashed = _hashed_surrogate(entity, label, subject)
+    return hashed if key is None else F.when(label.isin("CARD", "SSN", "PHONE"), number_surrogate(entity, key)).otherwise(hashed)
+
+
+def _hashed_surrogate(entity: Column, label: Column, subject: Column) -> Column:
+    number = hash_number(entity)
     octet = [(F.shiftright(number, 8 * k) % 256).cast("string") for k in range(3)]
     shift = day_shift(subject)
     iso = F.date_format(F.date_add(F.try_to_timestamp(entity, F.lit("yyyy-MM-dd")).cast("date"), shift), "yyyy-MM-dd")
@@ -184,15 +190,19 @@ def _surrogate(entity: Column, subject: Column) -> Column:
     )
 
 
-def obfuscated(text: Column, subject: Column) -> Column:
+def obfuscated(text: Column, subject: Column, key: str | None = None) -> Column:
     """Text with each entity replaced by a made-up value of the same kind.
 
     The same entity gets the same surrogate everywhere, on any cluster and on
     every run; dates move by the shift of their ``subject``. A date that does
     not exist is masked.
+
+    Without a ``key`` cards, social security and phone numbers are drawn by a hash from few numbers that are
+    nobody's, so two entities may share one. With a ``key`` they are permuted: different ones stay different, but
+    a surrogate may be a number that exists.
     """
     rebuilt = F.array_join(
-        F.transform(_parts(text), lambda part, i: F.when(i % 2 == 1, _surrogate(part, subject)).otherwise(part)),
+        F.transform(_parts(text), lambda part, i: F.when(i % 2 == 1, _surrogate(part, subject, key)).otherwise(part)),
         "",
     )
     return F.when(text.rlike(ENTITY_HINT), rebuilt).otherwise(text)

@@ -19,6 +19,7 @@ from ..functions.entities import (
 )
 from ..functions.fixed import ENTITY_PATTERNS, ENGLISH_STOP_WORDS, MIN_CONFIDENCE, REPORT_STOP_WORDS
 from ..functions.pages import confidence, pages_by_break, pages_by_length, stage_confidences, with_clean_stages
+from ..functions.surrogates import ROUNDS, number_surrogate
 from ..functions.words import CLITIC, PARTING
 from ..operators.texts import word_counts
 from ..plans import notes, transcript
@@ -306,6 +307,44 @@ def deid_obfuscate(spark, folder):
     return documents(spark, folder).select("doc_id", obfuscated(F.col("text"), F.col("doc_id")).alias("obfuscated"))
 
 
+SURROGATE_KEY = "documents"
+# One round of the permutation: the halves change places, and one gets a number fixed by the other.
+_ROUNDS_SQL = "".join(
+    f""", r{i + 1} AS (SELECT chunk, ner_label, lead_text, digits, y AS x, of_y AS of_x, of_x AS of_y,
+               (x + CAST('0x' || substr(sha256('{SURROGATE_KEY}:{i}:' || y), 1, 15) AS BIGINT)) % of_x AS y FROM r{i})"""
+    for i in range(ROUNDS)
+)
+NUMBER_SURROGATES_SQL = f"""
+    WITH found AS (
+        SELECT DISTINCT chunk, ner_label, regexp_extract(chunk, '^(\\+1\\s+)?') AS lead_text FROM ({CHUNKS_SQL})
+        WHERE ner_label IN ('CARD', 'SSN', 'PHONE')
+    ), cut AS (
+        SELECT *, regexp_replace(substr(chunk, length(lead_text) + 1), '[^0-9]', '', 'g') AS digits FROM found
+    ), r0 AS (
+        SELECT *, CAST(substr(digits, 1, length(digits) // 2) AS BIGINT) AS x, CAST(substr(digits, length(digits) // 2 + 1) AS BIGINT) AS y,
+               CAST(pow(10, length(digits) // 2) AS BIGINT) AS of_x, CAST(pow(10, length(digits) - length(digits) // 2) AS BIGINT) AS of_y
+        FROM cut
+    ){_ROUNDS_SQL}, done AS (
+        SELECT *, lpad(CAST(x AS VARCHAR), CAST(length(digits) // 2 AS INTEGER), '0') || lpad(CAST(y AS VARCHAR), CAST(length(digits) - length(digits) // 2 AS INTEGER), '0') AS made,
+               substr(chunk, length(lead_text) + 1) AS body FROM r{ROUNDS}
+    ), marks AS (
+        SELECT *, unnest(string_split(body, '')) AS mark, generate_subscripts(string_split(body, ''), 1) AS nr FROM done
+    ), numbered AS (
+        SELECT *, CAST(count(*) FILTER (mark BETWEEN '0' AND '9') OVER (PARTITION BY chunk ORDER BY nr) AS BIGINT) AS nth FROM marks
+    )
+    SELECT chunk, ner_label, lead_text || string_agg(CASE WHEN mark BETWEEN '0' AND '9' THEN substr(made, nth, 1) ELSE mark END, '' ORDER BY nr) AS surrogate
+    FROM numbered GROUP BY chunk, ner_label, lead_text
+"""
+
+
+@query("deid_number_surrogates", NUMBER_SURROGATES_SQL)
+def deid_number_surrogates(spark, folder):
+    found = documents(spark, folder).select(F.explode(chunks(F.col("text"))).alias("c"))
+    numbers = found.select(F.col("c")["result"].alias("chunk"), F.col("c")["metadata"].getItem("entity").alias("ner_label"))
+    numbers = numbers.where(F.col("ner_label").isin("CARD", "SSN", "PHONE")).distinct()
+    return numbers.withColumn("surrogate", number_surrogate(F.col("chunk"), SURROGATE_KEY))
+
+
 @query(
     "sentence_pairs",
     f"""WITH fake AS ({OBFUSCATED_SQL}),

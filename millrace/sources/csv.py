@@ -40,11 +40,31 @@ def csv_with_schema(
     return reader.csv(path)
 
 
+def arrow_uri(uri: str) -> str:
+    """The address by which Arrow's file systems know a file that Spark names by ``uri``.
+
+    ``s3a`` and ``s3n`` are ``s3``, ``wasb`` and ``wasbs`` the same container by ``abfs`` and ``abfss``, and ``dbfs`` the
+    folder ``/dbfs`` that every machine of such a cluster mounts. All others are named alike.
+    """
+    scheme, colon, rest = uri.partition(":")
+    if not colon:
+        return uri
+    kind = scheme.lower()
+    if kind in ("s3a", "s3n"):
+        return f"s3:{rest}"
+    if kind in ("wasb", "wasbs"):
+        host, slash, path = rest.removeprefix("//").partition("/")
+        return f"{kind.replace('wasb', 'abfs')}://{host.replace('.blob.', '.dfs.')}{slash}{path}"
+    if kind == "dbfs":
+        return f"file:///dbfs/{rest.lstrip('/')}"
+    return uri
+
+
 def _header(uri: str) -> list[str]:
     """Column names in the first line of a CSV file, named as Spark names them; the rest is not read."""
     from pyarrow.fs import FileSystem
 
-    store, path = FileSystem.from_uri(uri)
+    store, path = FileSystem.from_uri(arrow_uri(uri))
     line, size = b"", 1 << 16
     with store.open_input_stream(path) as stream:
         while chunk := stream.read(size):
