@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .columns import items, ratio
 
@@ -78,3 +78,49 @@ def stage_confidences(df: DataFrame, stages: list[str]) -> DataFrame:
         F.min("confidence").alias("min_confidence"),
         F.max("confidence").alias("max_confidence"),
     )
+
+
+def pages_by_lines(df: DataFrame, text: str, out: str = "page_text", lines: int = 50) -> DataFrame:
+    """One row per block of ``lines`` lines, with ``pagenum`` from 0."""
+
+    def blocks(own: Column) -> Column:
+        last = F.ceil(F.size(own) / lines).cast("int") - 1
+        return F.transform(F.sequence(F.lit(0), last), lambda b: F.array_join(F.slice(own, b * lines + 1, F.lit(lines)), "\n"))
+
+    # Split once, and read by number from there.
+    return _fan_out(df, F.transform(F.array(F.split(F.col(text), "\n", -1)), blocks)[0], out)
+
+
+def without_running_lines(
+    pages: DataFrame, doc: str, text: str, pagenum: str = "pagenum", edge: int = 2, reach: int = 3, least: int = 3
+) -> DataFrame:
+    """``pages`` with ``body_text``, without running heads and feet, and ``n_running``, the lines taken out.
+
+    A head or foot is one of the first or last ``edge`` filled lines of a page that stands at the same place on
+    ``least`` pages and more from ``reach`` pages before to ``reach`` pages behind, itself included, with numbers taken for
+    alike. So a head that changes with the chapter is found, and one that a page lacks does no harm. Pages of
+    one document and number are told apart by nothing else, so both must name a page. Only the lines at the edges
+    are compared; the texts move once, to meet the line numbers to take out. A NULL text stays NULL.
+    """
+    own = F.split(F.col(text), "\n", -1)
+    filled = F.filter(
+        F.transform(own, lambda line, i: F.struct(i.alias("line_no"), F.regexp_replace(line, "[0-9]+", "#").alias("line"))),
+        lambda x: x["line"].rlike(r"[^ \t\r\f\x0B]"),
+    )
+    place = lambda sign: lambda x, i: F.struct((sign * (i + 1)).alias("place"), x["line_no"].alias("line_no"), x["line"].alias("line"))
+    tops = F.transform(F.slice(filled, 1, edge), place(1))
+    ends = F.transform(F.slice(F.reverse(filled), 1, edge), place(-1))
+    edges = pages.select(F.col(doc).alias("_doc"), F.col(pagenum).alias("_page"), F.inline(F.concat(tops, ends)))
+    near = Window.partitionBy("_doc", "place", "line").orderBy("_page").rangeBetween(-reach, reach)
+    running = edges.withColumn("n", F.count("*").over(near)).where(F.col("n") >= least)
+    gone = running.groupBy("_doc", "_page").agg(F.collect_set("line_no").alias("_gone"))
+    met = pages.join(gone, F.col(doc).eqNullSafe(F.col("_doc")) & (F.col(pagenum) == F.col("_page")), "left")
+    kept = F.transform(
+        F.array(own),
+        lambda lines: F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone")), lambda i: F.get(lines, i)),
+    )[0]
+    return met.select(
+        *(F.col(f"`{c}`") for c in pages.columns),
+        F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")).alias("body_text"),
+        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_running"),
+    )

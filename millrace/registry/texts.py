@@ -18,7 +18,15 @@ from ..functions.entities import (
     zipped,
 )
 from ..functions.fixed import ENTITY_PATTERNS, ENGLISH_STOP_WORDS, MIN_CONFIDENCE, REPORT_STOP_WORDS
-from ..functions.pages import confidence, pages_by_break, pages_by_length, stage_confidences, with_clean_stages
+from ..functions.pages import (
+    confidence,
+    pages_by_break,
+    pages_by_length,
+    pages_by_lines,
+    stage_confidences,
+    with_clean_stages,
+    without_running_lines,
+)
 from ..functions.surrogates import ROUNDS, number_surrogate
 from ..functions.words import CLITIC, PARTING
 from ..operators.texts import word_counts
@@ -113,6 +121,32 @@ def stage_compare(spark, folder):
     )
 
 
+RUNNING_SQL = r"""
+    WITH lines AS (
+        SELECT doc_id, line, nr, nr // 4 AS pagenum FROM (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS nr FROM documents)
+    ), filled AS (
+        SELECT *, regexp_replace(line, '[0-9]+', '#', 'g') AS form,
+               row_number() OVER (PARTITION BY doc_id, pagenum ORDER BY nr) AS top, row_number() OVER (PARTITION BY doc_id, pagenum ORDER BY nr DESC) AS foot
+        FROM lines WHERE regexp_matches(line, '[^ \t\r\f\x0B]')
+    ), edges AS (
+        SELECT doc_id, pagenum, nr, form, top AS place FROM filled WHERE top <= 2
+        UNION ALL SELECT doc_id, pagenum, nr, form, -foot FROM filled WHERE foot <= 2
+    ), counted AS (
+        SELECT *, count(*) OVER (PARTITION BY doc_id, place, form ORDER BY pagenum RANGE BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS n FROM edges
+    ), gone AS (SELECT DISTINCT doc_id, nr FROM counted WHERE n >= 3)
+    SELECT doc_id, CAST(pagenum AS INTEGER) AS pagenum, count(g.nr) AS n_running,
+           coalesce(string_agg(line, chr(10) ORDER BY l.nr) FILTER (g.nr IS NULL), '') AS body_text
+    FROM lines l LEFT JOIN gone g USING (doc_id, nr) GROUP BY doc_id, pagenum
+"""
+
+
+@query("running_lines", RUNNING_SQL)
+def running_lines(spark, folder):
+    pages = pages_by_lines(documents(spark, folder).select("doc_id", "text"), "text", lines=4)
+    return without_running_lines(pages, "doc_id", "page_text").select("doc_id", "pagenum", "n_running", "body_text")
+
+
 @query("regex_filter", "SELECT page_id, url FROM pages WHERE regexp_matches(url, '/en/[0-9]+\\.html$')")
 def regex_filter(spark, folder):
     return table(spark, folder, "pages").where(F.col("url").rlike(r"/en/[0-9]+\.html$")).select("page_id", "url")
