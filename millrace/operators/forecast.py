@@ -24,7 +24,7 @@ def hourly_series(df: DataFrame, ts: str, value: str, series: Sequence[str] = ()
     return df.groupBy(*series, hour_start(F.col(ts)).alias("ds")).agg(F.sum(value).alias("y"))
 
 
-def _hour_number(ds: Column) -> Column:
+def hour_number(ds: Column) -> Column:
     return F.datediff(ds, F.lit(_ORIGIN).cast("date")) * 24 + F.hour(ds)
 
 
@@ -39,7 +39,7 @@ def _fitted(hourly: DataFrame, series: Sequence[str]) -> DataFrame:
     x = F.col("_x")
     return (
         hourly.withColumns(
-            {"_x": _hour_number(F.col("ds")), "hour": F.hour("ds"), "weekday": F.weekday("ds")}
+            {"_x": hour_number(F.col("ds")), "hour": F.hour("ds"), "weekday": F.weekday("ds")}
         )
         .withColumns(
             {
@@ -139,4 +139,4 @@ def predict(hourly: DataFrame, series: Sequence[str] = (), hours: int = FORECAST
 
 
 def _estimate(hour_effect: Column, day_effect: Column) -> Column:
-    return F.col("intercept") + F.col("slope") * _hour_number(F.col("ds")) + hour_effect + day_effect
+    return F.col("intercept") + F.col("slope") * hour_number(F.col("ds")) + hour_effect + day_effect

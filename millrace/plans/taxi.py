@@ -21,6 +21,7 @@ from ..operators.forecast import hourly_series, predict
 from ..operators.joins import kept_in
 from ..operators.quantiles import exact_quantiles, with_exact_quantiles
 from ..operators.ranking import busiest
+from ..operators.trend import predict_tested
 from ..sources.csv import csv_with_schema, inferred_schema
 from ..sources.tables import create_table, drop_table, overwrite_table
 
@@ -141,3 +142,8 @@ def median_fare_per_mile(trips: DataFrame, k: int = 2) -> DataFrame:
 def revenue_forecast(trips: DataFrame, hours: int = FORECAST_HOURS) -> DataFrame:
     """Hourly revenue seen and expected."""
     return predict(hourly_series(trips, "pickup_datetime", "total_amount"), hours=hours)
+
+
+def bending_revenue_forecast(trips: DataFrame, hours: int = FORECAST_HOURS) -> DataFrame:
+    """Hourly revenue seen and expected, with change points and a back-tested band."""
+    return predict_tested(hourly_series(trips, "pickup_datetime", "total_amount"), hours=hours)

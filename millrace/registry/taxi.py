@@ -284,6 +284,12 @@ def _fit_sql(series: str) -> str:
     """CTEs of the additive model, per series column (or a constant)."""
     return f"""
     hourly AS (SELECT {series} AS series, date_trunc('hour', ts) AS ds, sum(value) AS y FROM events GROUP BY 1, 2),
+    {MODEL_SQL}
+    """
+
+
+#: The additive model of the CTE ``hourly (series, ds, y)``.
+MODEL_SQL = """
     timed AS (SELECT *, CAST(datediff('hour', TIMESTAMP '2000-01-01', ds) AS DOUBLE) AS x,
                      hour(ds) AS h, isodow(ds) - 1 AS d FROM hourly),
     trend AS (SELECT series, regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept,
