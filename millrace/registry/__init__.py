@@ -1,6 +1,6 @@
 """Named queries on the given tables, each with its checking SQL."""
 
-from . import storage, taxi, texts, trend  # noqa: F401
+from . import storage, taxi, terms, texts, trend  # noqa: F401
 from .base import CHECK_SQL, QUERIES
 
 __all__ = ["CHECK_SQL", "QUERIES"]
