@@ -27,7 +27,7 @@ ENTITY_HINT = r"@|\+1|[0-9][0-9./-]"
 BLANKS = " \t\n\u000b\f\r"
 
 CHUNK_TYPE = "array<struct<begin:int,end:int,result:string,metadata:map<string,string>>>"
-_BLOCK = 256
+_SMALL_BLOCK, _BLOCK = 16, 256
 
 
 def _unmarked(text: Column) -> Column:
@@ -81,37 +81,40 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def running_sums(numbers: Column) -> Column:
-    """For each element of an array of ints, the sum of those before it.
+def _exclusive(numbers: Column, start: Column) -> Column:
+    first = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(
+        numbers,
+        first,
+        lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+        lambda acc: acc["out"],
+    )
 
-    Arrays cannot be extended in place, so sums are taken in blocks: within a
-    block, and over the sums of the blocks.
-    """
 
-    def exclusive(items_: Column, start: Column) -> Column:
-        first = F.struct(start.alias("at"), F.array().cast("array<int>").alias("out"))
-        return F.aggregate(
-            items_,
-            first,
-            lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
-            lambda acc: acc["out"],
-        )
+def _sums_by_block(numbers: Column, size: int, starts_of) -> Column:
+    """Running sums within blocks, each from its own start; ``starts_of`` gives the starts from the blocks' sums."""
 
-    def in_blocks(numbers: Column) -> Column:
-        last = F.greatest(F.ceil(F.size(numbers) / _BLOCK).cast("int") - 1, F.lit(0))
-        blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(numbers, b * _BLOCK + 1, F.lit(_BLOCK)))
-        return _let(
-            blocks,
-            lambda own: F.flatten(
-                F.zip_with(
-                    own,
-                    exclusive(F.transform(own, lambda x: F.aggregate(x, F.lit(0), lambda a, n: a + n)), F.lit(0)),
-                    exclusive,
-                )
-            ),
-        )
+    def of(numbers: Column) -> Column:
+        last = F.greatest(F.ceil(F.size(numbers) / size).cast("int") - 1, F.lit(0))
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(numbers, b * size + 1, F.lit(size)))
+
+        def placed(own: Column) -> Column:
+            sums = F.transform(own, lambda x: F.aggregate(x, F.lit(0), lambda a, n: a + n))
+            return F.flatten(F.zip_with(own, starts_of(sums), _exclusive))
 
-    return _let(numbers, in_blocks)
+        return _let(blocks, placed)
+
+    return _let(numbers, of)
+
+
+def running_sums(numbers: Column) -> Column:
+    """For each element of an array of ints, the sum of those before it.
+
+    Arrays cannot be extended in place, so sums are taken in small blocks, over the sums of these in larger ones,
+    and over the sums of the larger ones.
+    """
+    whole = F.lit(0)
+    return _sums_by_block(numbers, _SMALL_BLOCK, lambda sums: _sums_by_block(sums, _BLOCK, lambda top: _exclusive(top, whole)))
 
 
 def label_of(chunk: Column) -> Column:

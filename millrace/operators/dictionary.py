@@ -14,7 +14,7 @@ from ..functions.entities import MARK, running_sums
 from ..session import settled
 
 WORD = r"[\p{L}\p{N}'-]+"
-_BLOCK = 256
+_BLOCK = 64
 
 
 def _plain(phrase: Column) -> Column:
@@ -87,15 +87,18 @@ def dictionary_chunks(df: DataFrame, keys: Sequence[str], text: str, terms: Data
     firsts = settled(terms.groupBy("first").agg(F.array_sort(F.collect_set("n")).alias("_lengths")))
     longest = terms.agg(F.max("n")).first()[0] or 1
     cut = df.where(F.col(text).isNotNull()).select(*keys, _parts(F.col(text)).alias("_p"))
-    begins = cut.withColumn("_at", running_sums(F.transform("_p", F.length)))
     places = F.sequence(F.lit(2), F.size("_p"), F.lit(2))
-    words = begins.where(F.size("_p") > 1).select(
+    # A word with what stands before it counts as one step, which halves the sums.
+    gaps = cut.where(F.size("_p") > 1).withColumn("_gaps", F.transform(places, lambda i: F.length(F.get("_p", i - 2))))
+    steps = F.transform("_gaps", lambda gap, k: gap + F.length(F.get("_p", 2 * k + 1)))
+    begins = gaps.withColumn("_at", F.zip_with(running_sums(steps), "_gaps", lambda before, gap: before + gap))
+    words = begins.select(
         *keys,
         F.inline(
             F.transform(
                 places,
                 lambda i: F.struct(
-                    F.get(F.col("_at"), i - 1).alias("begin"), F.slice("_p", i, F.lit(2 * longest - 1)).alias("_ahead")
+                    F.get("_at", (i / 2).cast("int") - 1).alias("begin"), F.slice("_p", i, F.lit(2 * longest - 1)).alias("_ahead")
                 ),
             )
         ),
