@@ -30,6 +30,7 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from .common import documents, rows, saved, whole_text
@@ -297,12 +298,10 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", rounds: int
     for _ in range(rounds):
         model = _estimated(_round(whole, None, model), shares)
 
-    # Blocks meet the counts of their words; a block has no more of them than words.
-    own = counted.groupBy("block").agg(F.collect_list(F.struct("number", "c")).alias("counts"))
-    met = whole.join(own, "block", "left").select("keys", "held", "sizes", "ids", "classes", "counts")
+    # Blocks meet the counts of their words block by block, sorted by Spark (which spills) and not gathered in lists.
     shared = spark.sparkContext.broadcast((model, class_n, class_v, total, distinct, ends))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(block: pa.Table, own: pa.Table) -> pa.Table:
         model, class_n, class_v, total, distinct, ends = shared.value
 
         def scored(row: dict, keys: pa.Array, c: np.ndarray) -> pa.RecordBatch:
@@ -322,19 +321,19 @@ def score(docs: DataFrame, text: str = "text", key: str = "doc_id", rounds: int
             columns = [keys, pa.array(row["held"], pa.bool_()), sizes, known, np.full(len(texts), total, np.int64), base_score, path / np.log(10) + of_words]
             return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
 
-        for batch in batches:
-            for n in range(batch.num_rows):
-                row = batch.slice(n, 1)
-                counts = row.column(5).flatten()
-                given = row.select(["held", "sizes", "ids", "classes"]).to_pylist()[0]
-                c = np.zeros(len(given["classes"]) // 2, np.int64)
-                c[counts.field(0).to_numpy()] = counts.field(1).to_numpy()
-                yield scored(given, row.column(0).flatten(), c)
+        out = []
+        for row in block.combine_chunks().to_batches(max_chunksize=1):
+            given = row.select(["held", "sizes", "ids", "classes"]).to_pylist()[0]
+            c = np.zeros(len(given["classes"]) // 2, np.int64)
+            c[own.column("number").to_numpy()] = own.column("c").to_numpy()
+            out.append(scored(given, row.column("keys").flatten(), c))
+        return pa.Table.from_batches(out, to_arrow_schema(schema))
 
     kinds = {"held_out": BooleanType(), "n_tokens": LongType(), "n_known": LongType(), "train_tokens": LongType(), "base_score": DoubleType(), "score": DoubleType()}
     schema = StructType([StructField(key, docs.schema[key].dataType), *(StructField(n, t) for n, t in kinds.items())])
     names = schema.names
-    return met.mapInArrow(run, schema)
+    by_block = whole.select("block", "keys", "held", "sizes", "ids", "classes").groupBy("block")
+    return by_block.cogroup(counted.select("block", "number", "c").groupBy("block")).applyInArrow(run, schema)
 
 
 @query("op1_hmm")

@@ -82,6 +82,19 @@ def test_scores_of_a_table(spark, tmp_path):
     assert hmm.score(cases.empty(spark), rounds=1).count() == 0
 
 
+def test_scores_of_many_blocks_meet_their_counts_without_lists(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "BLOCK", 64)  # a few texts a block: many blocks
+    found = hmm.score(cases.table(spark, extra=True), rounds=1)
+    assert "collect_list" not in found._jdf.queryExecution().executedPlan().toString()
+    given = cases.rows()
+    held = {r[0]: zlib.crc32(str(r[0]).encode()) % 7 == 2 for r in given}
+    tokens = [(r[0], [*cases.words(r[1], True), None]) for r in given]
+    counts = Counter(w for i, t in tokens if not held[i] for w in t)
+    total, distinct = sum(counts.values()), len(counts)
+    want = Counter((i, sum(counts[w] > 0 for w in t), round(sum(log10((counts[w] + 1) / (total + distinct + 1)) for w in t), 6)) for i, t in tokens)
+    assert want == Counter((r.doc_id, r.n_known, round(r.base_score, 6)) for r in found.collect())
+
+
 def test_held_out_texts_score_above_single_words(spark):
     rows = hmm.op1_hmm(spark, SMALL).where("held_out").collect()
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
