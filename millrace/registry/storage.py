@@ -312,11 +312,17 @@ def csv_infer_scan(spark, folder):
     return read.withColumns({"o_orderdate": day_text(F.col("o_orderdate")), "kinds": F.lit(kinds)})
 
 
+#: Bytes of Parquet input behind one CSV file that a query writes for itself.
+CSV_FILE_INPUT = 64 << 20
+
+
 @query("csv_schema_scan", f"SELECT {', '.join(LINE_COLUMNS)}, {sql_day('l_shipdate')} AS l_shipdate FROM lineitem")
 def csv_schema_scan(spark, folder):
     """Schema from the largest file of the folder, applied to the folder."""
     lines = table(spark, folder, "lineitem").withColumn("l_shipdate", F.to_date("l_shipdate"))
-    path = write_csv(lines.repartition(4), fresh_path(spark, "csv"))
+    # Four files at least, and more as the input grows: a task writes one file.
+    count = max(4, tables.files_needed(spark, f"{folder}/lineitem.parquet", CSV_FILE_INPUT))
+    path = write_csv(lines.repartition(count), fresh_path(spark, "csv"))
     read = csv.csv_with_schema(spark, path, csv.inferred_schema(spark, path, files=1))
     return read.withColumn("l_shipdate", day_text(F.col("l_shipdate")))
 
