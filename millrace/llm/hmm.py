@@ -152,21 +152,27 @@ class Lattice:
         return out
 
     def expected(self, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Expected counts of starts, transitions and emissions."""
+        """Expected counts of starts, transitions and emissions.
+
+        The backward pass keeps no array of its own of the lattice's size: the emissions of a step become, in
+        place, what the step hands back, and what each step hands back is made again, step by step, to turn
+        the forward probabilities into posteriors once the transitions are counted.
+        """
         emit, ahead, scale = self.forward(model)
-        back = np.ones_like(emit)
         emit /= scale[:, None]
         at, live, move = self.at.tolist(), self.live.tolist(), np.ascontiguousarray(model.move.T)
+        back = lambda t: emit[at[t] : at[t] + live[t]] @ move  # noqa: E731  (for the first live[t] texts at t - 1)
         for t in range(len(live) - 1, 0, -1):
-            a, n = at[t], live[t]
-            emit[a : a + n] *= back[a : a + n]  # from here on: what step t hands back
-            back[at[t - 1] : at[t - 1] + n] = emit[a : a + n] @ move
-        back *= ahead
+            if t + 1 < len(live):
+                emit[at[t] : at[t] + live[t + 1]] *= back(t + 1)  # from here on: what step t hands back
         first = live[0]
         before = np.repeat(self.at[:-1] - self.at[1:], self.live[1:]) + np.arange(first, len(emit))
         moves = model.move * (ahead[before].T @ emit[first:])
-        counts = [np.bincount(self.seen, back[:, k], CLASSES + 1) for k in range(STATES)]
-        return back[:first].sum(axis=0), moves, np.array(counts).T
+        del before
+        for t in range(1, len(live)):
+            ahead[at[t - 1] : at[t - 1] + live[t]] *= back(t)
+        counts = [np.bincount(self.seen, ahead[:, k], CLASSES + 1) for k in range(STATES)]
+        return ahead[:first].sum(axis=0), moves, np.array(counts).T
 
 
 def _classed(row: dict, train_only: bool) -> Iterator[np.ndarray]:
